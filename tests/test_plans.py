@@ -1,0 +1,78 @@
+"""Physical plans: what is shuffled, what reaches the scan, what never appears."""
+
+import os
+import re
+
+import __spark_entry__ as entry
+import pytest
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def no_broadcast(spark):
+    """Plans as they are when no table is small enough to broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield spark
+    spark.conf.set(key, before)
+
+
+def plan(spark, name):
+    return entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_cross_join_no_python_no_single_task(no_broadcast, name):
+    text = plan(no_broadcast, name)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "InArrow"):
+        assert node not in text
+    single = text.count("Exchange SinglePartition")
+    # The only global aggregate is the empty-share report: one row per task.
+    assert single == (1 if name == "q28_empty_share" else 0)
+
+
+@pytest.mark.parametrize("name", ["q04_keep_first", "q12_totals", "q16_new_task_ids", "q24_function_map", "q26_sample"])
+def test_keys_are_cut_down_before_the_shuffle(no_broadcast, name):
+    text = plan(no_broadcast, name)
+    assert re.search(r"Exchange hashpartitioning\([^\n]*\n[^\n]*WindowGroupLimit [^\n]*Partial", text)
+
+
+def test_totals_read_the_lines_once(no_broadcast):
+    text = plan(no_broadcast, "q12_totals")
+    assert text.count("FileScan parquet [l_orderkey") == 1
+    scan = re.search(r"FileScan parquet \[(l_[^\]]*)\]", text).group(1)
+    assert "l_tax" not in scan and "l_discount" not in scan
+
+
+def test_part_table_is_read_only_where_needed(no_broadcast):
+    assert "p_name" in plan(no_broadcast, "q02_base_gate")
+    assert "p_partkey" not in plan(no_broadcast, "q04_keep_first")
+
+
+def test_gate_reaches_the_scan(no_broadcast):
+    text = plan(no_broadcast, "q04_keep_first")
+    assert re.search(r"Filter [^\n]*element_at[^\n]*\n[^\n]*FileScan parquet \[l_orderkey", text)
+
+
+def test_skewed_package_is_cut_before_the_shuffle(spark):
+    """A third of the lines repeat one sequence of one package: few rows are shuffled."""
+    from pyspark.sql import functions as F
+
+    from wrenchline.config import DEFAULT_CONFIG
+    from wrenchline.operators.lines import mhr_rows
+
+    rows = spark.range(0, 300_000, 1, 4)
+    hot = F.col("id") % 3 == 0
+    lines = rows.select(
+        F.when(hot, "HOT").otherwise(F.concat(F.lit("P"), F.col("id") % 1000)).alias("workpack_id"),
+        F.col("id").alias("row_no"),
+        F.when(hot, "2.1").otherwise(F.concat(F.lit("2."), F.col("id") % 7)).alias("seq"),
+    )
+    kept = mhr_rows(lines, DEFAULT_CONFIG)
+    result = {r["workpack_id"]: r["n"] for r in kept.groupBy("workpack_id").agg(F.count("*").alias("n")).collect()}
+    assert result["HOT"] == 1 and len(result) == 1001
+    first = kept.where("workpack_id = 'HOT'").collect()[0]
+    assert first["row_no"] == 0

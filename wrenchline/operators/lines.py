@@ -11,9 +11,18 @@ from wrenchline.functions.hours import minutes_to_hours
 from wrenchline.operators.keep_first import keep_first
 
 
-def dedup_key(lines: DataFrame) -> str:
-    """Lines repeat per ``event`` where the export has it, else per sequence."""
-    return "event" if "event" in lines.columns else "seq"
+def dedup_key(lines: DataFrame) -> Column:
+    """Lines repeat per ``event`` where the export has it, else per sequence.
+
+    ``has_event`` tells it per line when packages with and without it are mixed.
+    """
+    if "event" not in lines.columns:
+        return F.col("seq")
+    if "has_event" not in lines.columns:
+        return F.col("event")
+    # The flag keeps an event and an equal sequence of another export apart.
+    key = F.when(F.col("has_event"), F.col("event").cast("string")).otherwise(F.col("seq").cast("string"))
+    return F.struct(F.col("has_event").alias("event"), key.alias("key"))
 
 
 def with_base_hours(lines: DataFrame) -> DataFrame:

@@ -9,9 +9,6 @@ from wrenchline.config import EngineConfig
 from wrenchline.functions.hours import decimal_sum, rounded
 from wrenchline.operators.lines import in_sheet, kept_lines, with_base_hours
 
-STAGES = ("loaded", "base", "mhr", "coefficient")
-
-
 def run_metrics(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
     """(package, stage, rows, hours).
 

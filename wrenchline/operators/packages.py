@@ -10,7 +10,7 @@ from wrenchline.config import EngineConfig
 from wrenchline.functions import ids
 from wrenchline.functions.hours import decimal_sum, hours_to_hhmm, inclusive_days, rounded
 from wrenchline.functions.text import strip, text_or_nan
-from wrenchline.operators.lines import in_sheet, kept_lines
+from wrenchline.operators.lines import in_sheet
 
 HEADER_FIELDS = ("wpno", "start_date", "end_date")
 
@@ -82,9 +82,11 @@ def with_bonus(packages: DataFrame, bonus: DataFrame) -> DataFrame:
     return joined.withColumn("bonus_hours", F.coalesce("bonus_hours", F.lit(0.0)))
 
 
-def package_sums(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Header and man-hour sums of every package, 0 where no line counts."""
-    kept = kept_lines(lines, cfg)
+def package_sums(kept: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Header and man-hour sums of every package, 0 where no line counts.
+
+    Takes the kept lines of ``lines.kept_lines``.
+    """
     counts = F.col("processed") & in_sheet(cfg, "mhr")
     base = decimal_sum(F.when(counts, F.col("base_hours")))
     adjusted = decimal_sum(F.when(counts, F.col("adjusted_hours")))
@@ -99,10 +101,10 @@ def package_sums(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def package_totals(
-    lines: DataFrame, registrations: DataFrame, bonus: DataFrame, cfg: EngineConfig
+    kept: DataFrame, registrations: DataFrame, bonus: DataFrame, cfg: EngineConfig
 ) -> DataFrame:
     """Final total = adjusted hours + bonus, the bonus once per package."""
-    sums = with_bonus(with_aircraft_type(package_sums(lines, cfg), registrations), bonus)
+    sums = with_bonus(with_aircraft_type(package_sums(kept, cfg), registrations), bonus)
     return with_total(sums)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wrenchline.config import EngineConfig
 from wrenchline.functions.display import percent_text, workers_per_day
 from wrenchline.functions.hours import decimal_sum, hours_to_hhmm, rounded
-from wrenchline.operators.lines import in_sheet, kept_lines
+from wrenchline.operators.lines import in_sheet
 from wrenchline.operators.packages import (
     expand_header,
     header_struct,
@@ -22,14 +22,13 @@ def usable_special_codes(lines: DataFrame) -> DataFrame:
     return lines.groupBy("workpack_id").agg((F.count("special_code") > 0).alias("usable"))
 
 
-def special_code_hours(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
+def special_code_hours(kept: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Adjusted hours per package and code, ranked, with the package's own figures.
 
-    Lines are summed per (package, code) first; the package total, header and
-    rank are windows over those few rows, so the lines are read and shuffled
+    Kept lines are summed per (package, code) first; the package total, header
+    and rank are windows over those sums, so the lines are read and shuffled
     once. Lines without a code count in the package total only.
     """
-    kept = kept_lines(lines, cfg)
     counts = F.col("processed") & in_sheet(cfg, "mhr")
     first = F.struct(F.col("row_no").alias("row_no"), header_struct(kept).alias("header"))
     per_code = kept.groupBy("workpack_id", "special_code").agg(
@@ -68,7 +67,7 @@ def special_code_summary(code_hours: DataFrame, total: str = "adjusted_hours") -
 
 
 def special_code_table(
-    lines: DataFrame, registrations: DataFrame, bonus: DataFrame, cfg: EngineConfig
+    kept: DataFrame, registrations: DataFrame, bonus: DataFrame, cfg: EngineConfig
 ) -> DataFrame:
     """Report table: one row per code and a TOTAL row per package.
 
@@ -76,7 +75,7 @@ def special_code_table(
     need not add up to 100 %. Its row is added beside the first-ranked code.
     """
     codes = with_bonus(
-        with_aircraft_type(special_code_hours(lines, cfg), registrations), bonus
+        with_aircraft_type(special_code_hours(kept, cfg), registrations), bonus
     ).withColumn("total_hours", F.col("adjusted_hours") + F.col("bonus_hours"))
 
     total, days = F.col("total_hours"), F.col("days")

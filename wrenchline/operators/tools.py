@@ -44,6 +44,8 @@ def tool_issues(lines: DataFrame, ignore_items: DataFrame, cfg: EngineConfig) ->
     """Report rows; every line counts, repeated or not, whatever its sequence."""
     require_columns(lines, TOOL_COLUMNS, "tool control")
     source = sheet_gate(lines, cfg, "tool") if cfg.filter_tools_by_rule else lines
+    if "has_tool_columns" in lines.columns:  # exports that lack one are not checked
+        source = source.where("has_tool_columns")
     found = drop_ignored(zero_stock(source), ignore_items)
     extra = [F.col("percentage")] if "percentage" in lines.columns else []
     return found.select(

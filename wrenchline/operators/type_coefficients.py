@@ -70,6 +70,19 @@ def type_coefficient_lines(
     return rows.withColumn("adjusted_hours", F.col("base_hours") * F.col("type_coefficient"))
 
 
+def with_type_hours(
+    kept: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig
+) -> DataFrame:
+    """Kept lines with their hours adjusted by type instead of by sequence."""
+    rows = with_type_coefficient(kept, packages, table, cfg)
+    return rows.withColumns(
+        {
+            "coefficient": F.col("type_coefficient"),
+            "adjusted_hours": F.col("base_hours") * F.col("type_coefficient"),
+        }
+    )
+
+
 def hours_per_function(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
     rows = counted_rows(lines, cfg)
     return rows.groupBy("workpack_id", "func_group").agg(hours_sum(F.col("base_hours")).alias("base_hours"))

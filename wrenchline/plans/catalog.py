@@ -46,6 +46,10 @@ def _mhr(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     return line_ops.mhr_rows(star.lines(spark, folder, *_MHR, *extra), CFG)
 
 
+def _kept(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
+    return line_ops.kept_lines(star.lines(spark, folder, *_MHR, *_HEADER, *extra), CFG)
+
+
 def _registrations(spark: SparkSession, folder: str) -> DataFrame:
     return packages.registration_table(star.registrations(spark, folder))
 
@@ -153,7 +157,7 @@ def q11_bonus_breakdown(spark, folder):
 @query
 def q12_totals(spark, folder):
     totals = packages.package_totals(
-        star.lines(spark, folder, *_MHR, *_HEADER),
+        _kept(spark, folder),
         _registrations(spark, folder),
         _bonus(spark, folder),
         CFG,
@@ -171,8 +175,7 @@ def q12_totals(spark, folder):
 
 
 def _special(spark: SparkSession, folder: str) -> DataFrame:
-    columns = (*_MHR, "special_code", *_HEADER)
-    return special_codes.special_code_hours(star.lines(spark, folder, *columns), CFG)
+    return special_codes.special_code_hours(_kept(spark, folder, "special_code"), CFG)
 
 
 @query
@@ -183,7 +186,7 @@ def q13_special_codes(spark, folder):
 @query
 def q14_special_table(spark, folder):
     return special_codes.special_code_table(
-        star.lines(spark, folder, *_MHR, "special_code", *_HEADER),
+        _kept(spark, folder, "special_code"),
         _registrations(spark, folder),
         _bonus(spark, folder),
         CFG,
