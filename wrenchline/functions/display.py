@@ -29,11 +29,14 @@ def format_percentage(fraction: Column, places: int = 1) -> Column:
 
 
 def truncate(value: Column, length: int = 30, suffix: str = "...") -> Column:
-    text = clean(value)
+    """Cut to ``length`` with the suffix included, where the text is longer."""
     keep = length - len(suffix)
-    # A negative count cuts from the end.
-    head = F.left(text, F.lit(keep)) if keep >= 0 else F.left(text, F.length(text) + F.lit(keep))
-    return F.when(F.length(text) > length, F.concat(head, F.lit(suffix))).otherwise(text)
+    if keep >= 0:
+        longer = rf"(?s)^(.{{{keep}}}).{{{length - keep + 1},}}\z"
+    else:  # the suffix alone is longer: a negative count cuts from the end
+        longer = rf"(?s)^(?=.{{{length + 1},}})(.*?).{{0,{-keep}}}\z"
+    literal = suffix.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(clean(value), longer, "$1" + literal)
 
 
 def seq_display(seq: Column) -> Column:

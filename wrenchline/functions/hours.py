@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DayTimeIntervalType, NumericType
 
-from wrenchline.functions.text import number, strip
+from wrenchline.functions.text import SPACE, number
 
 # Sums go through a decimal, so the result does not depend on how rows are
 # spread over partitions. Four places are a third of a second.
@@ -14,7 +14,10 @@ _SUM_TYPE = "decimal(28,8)"
 _SUM_PLACES = 4
 
 # "[n day[s]] [+]hh:mm:ss[.fff]"; hours and minutes alone are not a time.
-_CLOCK = r"^([+-]?)(?:(\d+)\s*(?:days?|d),?\s*)?\+?(\d+):(\d{1,2}):(\d{1,2}(?:\.\d+)?)$"
+_CLOCK = (
+    rf"(?i)^[{SPACE}]*[+-]?(?:(\d+)\s*(?:days?|d),?\s*)?"
+    rf"\+?(\d+):(\d{{1,2}}):(\d{{1,2}}(?:\.\d+)?)[{SPACE}]*$"
+)
 
 
 def minutes_to_hours(minutes: Column, dtype: DataType | None = None) -> Column:
@@ -43,8 +46,10 @@ def hours_sum(hours: Column) -> Column:
 def hours_to_hhmm(hours: Column) -> Column:
     """``HH:MM`` with half-even minutes; negative is ``00:00``, hours may exceed 99."""
     minutes = F.rint(hours * 60).cast("bigint")
-    hour = F.floor(minutes / 60).cast("bigint")
-    text = F.format_string("%02d:%02d", hour, minutes - hour * 60)
+    hour, minute = F.call_function("div", minutes, F.lit(60)), minutes % 60
+    # At least two digits; lpad would cut longer hours and a formatter is slow.
+    pad = lambda n: F.concat(F.when(n < 10, "0").otherwise(""), n.cast("string"))
+    text = F.concat(pad(hour), F.lit(":"), pad(minute))
     return F.when(hours < 0, "00:00").when(hours.isNotNull(), text)
 
 
@@ -62,17 +67,21 @@ def time_to_hours(value: Column, dtype: DataType | None = None) -> Column:
         share = (plain > 0) & (plain < 1)
         return F.coalesce(F.when(share, plain * 24.0).otherwise(plain), F.lit(0.0))
 
-    text = F.lower(strip(value.cast("string")))
+    text = value.cast("string")
 
     def part(group: int) -> Column:
-        return F.coalesce(F.regexp_extract(text, _CLOCK, group).try_cast("double"), F.lit(0.0))
+        # The zero in front keeps absent parts readable: a failing cast is slow.
+        digits = F.concat(F.lit("0"), F.regexp_extract(text, _CLOCK, group))
+        return digits.try_cast("double")
+
+    def sign(pattern: str) -> Column:
+        return F.when(text.rlike(pattern), -1.0).otherwise(1.0)
 
-    sign = F.when(F.startswith(text, F.lit("-")), -1.0).otherwise(1.0)
-    has_days = F.regexp_extract(text, _CLOCK, 2) != ""
-    clock = part(3) * 3600.0 + part(4) * 60.0 + part(5)
     # A sign before days belongs to the days: "-1 days 02:00:00" is -22 hours.
-    seconds = F.when(has_days, part(2) * 86400.0 * sign + clock).otherwise(clock * sign)
-    return F.when(text.rlike(_CLOCK), seconds / 3600.0).otherwise(F.lit(0.0))
+    # Texts that are no time have only empty parts and give 0.
+    days = part(1) * 86400.0 * sign(rf"^[{SPACE}]*-")
+    clock = (part(2) * 3600.0 + part(3) * 60.0 + part(4)) * sign(rf"^[{SPACE}]*-\d+:")
+    return F.coalesce((days + clock) / 3600.0, F.lit(0.0))
 
 
 def inclusive_days(start: Column, end: Column) -> Column:

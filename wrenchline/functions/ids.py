@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wrenchline.config import EngineConfig, IGNORE
+from wrenchline.config import IGNORE, SHEETS, EngineConfig
 from wrenchline.functions.text import strip, text_or_nan
 
 # First letter of a package type -> check group.
@@ -23,13 +23,27 @@ def rule_value(cfg: EngineConfig, seq: Column, attribute: str) -> Column:
     """Rule attribute for the line's prefix, null without a rule.
 
     The rules come from the settings (a handful), so they are a literal map and
-    not a join: no extra plan node, no exchange.
+    not a join: no extra plan node, no exchange. All attributes share one map, so
+    a projection that needs several looks the prefix up once.
     """
-    values = cfg.rule_values(attribute)
-    if not values:
+    if not cfg.rules:
         return F.lit(None)
-    pairs = [F.lit(item) for pair in values.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), seq_prefix(seq))
+    rules = [F.lit(item) if isinstance(item, str) else item for pair in _rule_pairs(cfg) for item in pair]
+    return F.try_element_at(F.create_map(*rules), seq_prefix(seq)).getField(attribute)
+
+
+def _rule_pairs(cfg: EngineConfig) -> list[tuple[str, Column]]:
+    values = {name: cfg.rule_values(name) for name in (*SHEETS, "id_method", "coefficient")}
+    kinds = {"coefficient": "double"}
+    return [
+        (
+            prefix,
+            F.struct(
+                *[F.lit(values[name].get(prefix)).cast(kinds.get(name, "string")).alias(name) for name in values]
+            ),
+        )
+        for prefix in sorted({rule.prefix.upper() for rule in cfg.rules})
+    ]
 
 
 def mode(cfg: EngineConfig, seq: Column, sheet: str = "base") -> Column:
@@ -66,7 +80,7 @@ def is_valid_task_id(value: Column) -> Column:
 
 def is_skipped(cfg: EngineConfig, value: Column) -> Column:
     """Whether the ID contains a configured skip code, in any case."""
-    upper = F.upper(strip(value))
+    upper = F.upper(value)
     hit = F.lit(False)
     for code in cfg.skip_codes:
         if code.strip():

@@ -6,18 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType
 
-# The characters Python's str.strip() removes.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
-)
+# The characters Python's str.strip() removes, as a regex class.
+SPACE = r"\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+# Leading space, then everything up to the last other character.
+_STRIPPED = rf"^[{SPACE}]*((?s:.*[^{SPACE}])?)"
 
-# Decimal floats only: a double cast would also take "12d", "nan" and "inf".
-_PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Decimal floats between space; a double cast alone would also take "12d", "nan"
+# and "inf". One pattern trims, checks and extracts.
+_PLAIN_NUMBER = rf"^[{SPACE}]*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)[{SPACE}]*$"
+_GROUP = "[0-9]+(?:_[0-9]+)*"
 _GROUPED_NUMBER = (
-    r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)"
-    r"([eE][+-]?[0-9]+(_[0-9]+)*)?$"
+    rf"^[{SPACE}]*([+-]?(?:{_GROUP}\.?(?:{_GROUP})?|\.{_GROUP})(?:[eE][+-]?{_GROUP})?)[{SPACE}]*$"
 )
 
 # Texts that stand for a blank lookup key, in any case.
@@ -26,7 +26,7 @@ BLANK_KEYS = ("nan", "", "none")
 
 def strip(text: Column) -> Column:
     """Trim all Unicode whitespace (plain ``trim`` only removes blanks)."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    return F.regexp_extract(text, _STRIPPED, 1)
 
 
 def text_or_nan(value: Column) -> Column:
@@ -53,7 +53,9 @@ def number(value: Column, dtype: DataType | None = None, digit_groups: bool = Fa
     if isinstance(dtype, NumericType):
         plain = value.cast("double")
         return F.when(~F.isnan(plain), plain)
-    text = strip(value.cast("string"))
     pattern = _GROUPED_NUMBER if digit_groups else _PLAIN_NUMBER
-    digits = F.replace(text, F.lit("_"), F.lit("")) if digit_groups else text
-    return F.when(text.rlike(pattern), digits.try_cast("double"))
+    # Null and not empty without a match: a failing cast is slow.
+    digits = F.nullif(F.regexp_extract(value.cast("string"), pattern, 1), F.lit(""))
+    if digit_groups:
+        digits = F.replace(digits, F.lit("_"), F.lit(""))
+    return digits.try_cast("double")

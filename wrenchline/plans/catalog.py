@@ -316,10 +316,7 @@ def q35_ignore_list(spark, folder):
 
 @query
 def q36_display(spark, folder):
-    rows = star.lines(spark, folder, "seq", "title", "planned_min", "special_code", "tool_flag")
-    rows = line_ops.with_task_id(line_ops.with_base_hours(rows), CFG)
-    share = F.col("base_hours") / 24
-    clock = F.concat(hours.hours_to_hhmm(F.col("base_hours")), F.lit(":30"))
+    rows = line_ops.with_task_id(star.lines(spark, folder, "seq", "title", "special_code", "tool_flag"), CFG)
     return _line(
         rows,
         display.clean(F.col("title")).alias("title"),
@@ -328,8 +325,6 @@ def q36_display(spark, folder):
         display.task_id_display(F.col("task_id")).alias("task_id"),
         display.special_code_display(F.col("special_code")).alias("special_code"),
         display.tool_type(F.col("tool_flag")).alias("type"),
-        display.format_percentage(share).alias("day_share"),
-        hours.time_to_hours(clock).alias("clock_hours"),
     )
 
 
@@ -365,3 +360,16 @@ def q41_sheet_gates(spark, folder):
         F.count_if(line_ops.in_sheet(CFG, "tool")).alias("tool"),
         F.count_if(ids.should_check_reference(CFG, seq)).alias("checked"),
     )
+
+
+@query
+def q42_display_hours(spark, folder):
+    """Hours as a clock text, read back as a time cell, and as a share of a day."""
+    rows = line_ops.with_base_hours(star.lines(spark, folder, "planned_min"))
+    rows = rows.withColumn("clock", F.concat(hours.hours_to_hhmm(F.col("base_hours")), F.lit(":30")))
+    return _line(
+        rows,
+        "clock",
+        hours.time_to_hours(F.col("clock")).alias("clock_hours"),
+        display.format_percentage(F.col("base_hours") / 24).alias("day_share"),
+    )

@@ -286,11 +286,7 @@ ORACLES = {
     "q36_display": f"""WITH {_LINES} SELECT workpack_id, {_POS}, trim(coalesce(title, '')) AS title,
         CASE WHEN length(trim(coalesce(title, ''))) > 12 THEN left(trim(title), 9) || '...' ELSE trim(coalesce(title, '')) END AS short_title,
         coalesce(trim(seq), 'N/A') AS seq, CASE WHEN lower(task_id) = 'nan' THEN '(No ID)' ELSE task_id END AS task_id,
-        coalesce(special_code, '(No Code)') AS special_code, {_TYPE_LABEL} AS type,
-        printf('%.1f%%', base_hours / 24 * 100) AS day_share,
-        ((CAST(round_even(base_hours * 60, 0) AS bigint) // 60) * 3600.0::double
-          + (CAST(round_even(base_hours * 60, 0) AS bigint) % 60) * 60.0::double + 30.0::double) / 3600.0::double AS clock_hours
-        FROM ln""",
+        coalesce(special_code, '(No Code)') AS special_code, {_TYPE_LABEL} AS type FROM ln""",
     "q37_run_metrics": f"""WITH {_BASE}
         SELECT workpack_id, 'loaded' AS stage, count(*) AS "rows", {_STAGE_SUM} AS hours FROM ln GROUP BY workpack_id
         UNION ALL SELECT p.workpack_id, 'base', count(b.workpack_id), {_STAGE_SUM} FROM (SELECT DISTINCT workpack_id FROM wp) p LEFT JOIN base b USING (workpack_id) GROUP BY 1
@@ -305,6 +301,10 @@ ORACLES = {
     "q41_sheet_gates": f"""WITH {_LINES} SELECT workpack_id, count(*) FILTER (passes) AS base,
         count(*) FILTER (passes AND seq IS NOT NULL) AS mhr, count(*) FILTER (passes) AS newtask,
         count(*) FILTER (seq IS NOT NULL) AS tool, count(*) FILTER (passes) AS checked FROM ln GROUP BY workpack_id""",
+    "q42_display_hours": f"""WITH {_LINES}, m AS (SELECT *, CAST(round_even(base_hours * 60, 0) AS bigint) AS minutes FROM ln)
+        SELECT workpack_id, {_POS}, printf('%02d:%02d:30', minutes // 60, minutes % 60) AS clock,
+          ((minutes // 60) * 3600.0::double + (minutes % 60) * 60.0::double + 30.0::double) / 3600.0::double AS clock_hours,
+          printf('%.1f%%', base_hours / 24 * 100) AS day_share FROM m""",
 }
 
 

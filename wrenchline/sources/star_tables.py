@@ -18,18 +18,18 @@ ROW_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 _FROM_PART = {"title", "func_group", "tool_name"}
 
 
+def _pick(key: Column, *names: str) -> Column:
+    """One of the names, by the key's remainder."""
+    position = (key % len(names) + 1).cast("int")
+    return F.element_at(F.array(*[F.lit(n) for n in names]), position)
+
+
 def _line_columns() -> dict[str, Column]:
     col, lit, when = F.col, F.lit, F.when
     text = lambda c: col(c).cast("string")
     part = col("l_partkey")
     number = (part % 500).cast("string")
-    package_type = (
-        when(col("o_custkey") % 5 == 0, "A06")
-        .when(col("o_custkey") % 5 == 1, "C12")
-        .when(col("o_custkey") % 5 == 2, "Y01")
-        .when(col("o_custkey") % 5 == 3, "A12")
-        .otherwise("Z99")
-    )
+    package_type = _pick(col("o_custkey"), "A06", "C12", "Y01", "A12", "Z99")
     slash_title = F.concat(
         when(part % 4 == 0, "EO-").otherwise("TC-"), number, lit(" / "), col("p_name")
     )
@@ -99,14 +99,7 @@ def row_columns() -> list[Column]:
 
 
 def _aircraft(last: str) -> Column:
-    key = F.col("p_partkey") % 5
-    return (
-        F.when(key == 0, "MACHINERY")
-        .when(key == 1, "BUILDING")
-        .when(key == 2, "AUTOMOBILE")
-        .when(key == 3, "FURNITURE")
-        .otherwise(last)
-    )
+    return _pick(F.col("p_partkey"), "MACHINERY", "BUILDING", "AUTOMOBILE", "FURNITURE", last)
 
 
 def registrations(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,14 +112,7 @@ def registrations(spark: SparkSession, folder: str) -> DataFrame:
 
 def bonus_rows(spark: SparkSession, folder: str) -> DataFrame:
     part = F.col("p_partkey")
-    product = (
-        F.when(part % 7 == 0, "A06")
-        .when(part % 7 == 1, "C12")
-        .when(part % 7 == 2, "Y01")
-        .when(part % 7 == 3, "A12")
-        .when(part % 7 == 4, "none")
-        .otherwise("B01")
-    )
+    product = _pick(part, "A06", "C12", "Y01", "A12", "none", "B01", "B01")
     return read(spark, folder, "part").select(
         F.col("p_brand").alias("sheet"),
         part.alias("row_no"),
@@ -140,7 +126,7 @@ def bonus_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def type_coefficient_rows(spark: SparkSession, folder: str) -> DataFrame:
     part = F.col("p_partkey")
-    group = F.when(part % 3 == 0, "A-CHECK").when(part % 3 == 1, "C-CHECK").otherwise("Y-CHECK")
+    group = _pick(part, "A-CHECK", "C-CHECK", "Y-CHECK")
     return read(spark, folder, "part").select(
         part.alias("row_no"),
         _aircraft("HOUSEHOLD").alias("aircraft_code"),
