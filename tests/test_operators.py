@@ -383,7 +383,7 @@ def test_rule_findings():
 
 def test_run_metrics_and_batch_result(spark):
     df = lines(spark, "seq title planned_min", ("2.1", "x", "60"), ("2.1", "x", "60"), (None, "x", "30"), ("5.1", "x", "60"))
-    got = {r["stage"]: (r["rows"], r["hours"]) for r in metrics.run_metrics(df, CFG).collect()}
+    got = {r["stage"]: (r["rows"], r["hours"]) for r in metrics.run_metrics(df, line_ops.kept_lines(df, CFG), CFG).collect()}
     assert got == {"loaded": (4, 3.5), "base": (2, 1.5), "mhr": (1, 1.0), "excluded_mhr": (1, 0.5), "coefficient": (1, 2.2)}
     status = frame(spark, "workpack_id string, status string", ("A", "ok"), ("B", "failed"), ("C", "ok"))
     assert sorted(values(metrics.batch_result(status))) == [("failed", 1), ("ok", 2)]

@@ -122,12 +122,16 @@ def test_compressed_csv_parquet_and_json_exports(spark, tmp_path):
         lines = line_tables.read_exports(spark, str(tmp_path / kind), kind, CFG)
         rows = values(line_ops.with_base_hours(lines).orderBy("row_no"), "seq", "base_hours", "wpno")
         assert rows == [("2.1", 1.0, "x"), ("2.2", 0.0, "y")]
+    given = line_tables.read_exports(spark, str(tmp_path / "json"), "json", CFG, source.columns)
+    assert sorted(values(given, "seq", "planned_min")) == [("2.1", "60.0"), ("2.2", None)]
     parquet = line_tables.read_exports(spark, str(tmp_path / "parquet"), "parquet", CFG)
     assert sorted(values(parquet, "row_no")) == [(0,), (1,)]
     zipped = tmp_path / "zipped"
     zipped.mkdir()
     with gzip.open(zipped / "a.csv.gz", "wt") as out:
-        out.write("SEQ,other\n2.1,x\n")
+        out.write("SEQ,forecast.event_display,forecast.est_mh\n2.1,x,60\n")
+    packed = line_tables.read_exports(spark, str(zipped), "csv", CFG)
+    assert values(packed, "workpack_id", "seq", "planned_min") == [("a", "2.1", "60")]
     with pytest.raises(ValueError, match="unknown format"):
         line_tables.read_exports(spark, str(zipped), "xml", CFG)
     missing = tmp_path / "missing"
@@ -243,5 +247,6 @@ def test_write_reports(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "totals")).where("run = 'r2'").count() == 1000
     one_bucket = back.groupBy("workpack_id").agg(F.count_distinct("package_bucket").alias("n")).where("n > 1")
     assert one_bucket.count() == 0
-    csv = reports.write_report(df, str(tmp_path), "text", "r1", file_format="csv")
+    nested = df.withColumn("row_no", F.struct("id"))
+    csv = reports.write_report(nested, str(tmp_path), "text", "r1", file_format="csv")
     assert spark.read.option("header", True).csv(csv).count() == 1000

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from wrenchline.config import EngineConfig
 from wrenchline.functions.hours import decimal_sum, rounded
-from wrenchline.operators.lines import in_sheet, kept_lines, with_base_hours
+from wrenchline.operators.lines import in_sheet, with_base_hours
 
-def run_metrics(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """(package, stage, rows, hours).
+def run_metrics(lines: DataFrame, kept: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """(package, stage, rows, hours) from all lines and the kept lines.
 
     Stages: all lines; after base gate and keep-first; after the man-hour gate;
     the same rows with coefficients. ``excluded_mhr`` counts what the man-hour
@@ -30,7 +30,6 @@ def run_metrics(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
         .select("workpack_id", F.inline(F.array(stage("loaded", F.col("n"), F.col("h")))))
     )
 
-    kept = kept_lines(lines, cfg)
     base = F.col("processed")
     mhr = base & in_sheet(cfg, "mhr")
     sums = kept.groupBy("workpack_id").agg(

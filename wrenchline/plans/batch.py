@@ -74,5 +74,6 @@ def run_batch(
     log.info("packages: %s", result)
 
     lines = staged(line_tables.lines_from_cells(cells, cfg), f"{work}/lines")
-    datasets = build_reports(lines, read_lookups(spark, paths), cfg)
+    stage = lambda df, name: staged(df, f"{work}/{name}")
+    datasets = build_reports(lines, read_lookups(spark, paths), cfg, stage)
     return written | reports.write_reports(datasets, paths.output, run_id, buckets)

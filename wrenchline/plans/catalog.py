@@ -330,7 +330,8 @@ def q36_display(spark, folder):
 
 @query
 def q37_run_metrics(spark, folder):
-    return metrics.run_metrics(star.lines(spark, folder, *_MHR), CFG)
+    rows = star.lines(spark, folder, *_MHR)
+    return metrics.run_metrics(rows, line_ops.kept_lines(rows, CFG), CFG)
 
 
 @query

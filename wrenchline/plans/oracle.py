@@ -119,7 +119,7 @@ _CODES = f"""{_TOTALS},
 codes AS (
   SELECT c.workpack_id, c.special_code, c.hours, t.days, t.adjusted_hours, t.total_hours,
     CASE WHEN days > 0 THEN c.hours / days END AS hours_per_day,
-    row_number() OVER (PARTITION BY c.workpack_id ORDER BY c.hours DESC, c.special_code) AS rank
+    CAST(row_number() OVER (PARTITION BY c.workpack_id ORDER BY c.hours DESC, c.special_code) AS integer) AS rank
   FROM (SELECT workpack_id, special_code, {_sum('adjusted_hours')} AS hours
         FROM mhr WHERE special_code IS NOT NULL GROUP BY ALL) c
   JOIN totals t USING (workpack_id)
@@ -221,7 +221,7 @@ ORACLES = {
     "q07_high_hours": f"""WITH {_BASE} SELECT workpack_id, seq, title, task_id, {_hhmm('base_hours')} AS base_mhrs,
         seq IS NULL OR trim(seq) = '' AS seq_missing FROM mhr WHERE base_hours > 16""",
     "q08_package_header": f"""WITH {_WP}, {_PACKAGES} SELECT workpack_id, ac_name, wp_type, ac_type, check_group,
-        strftime(start_date, '%Y-%m-%d') AS start_date, strftime(end_date, '%Y-%m-%d') AS end_date, days FROM pkg""",
+        strftime(start_date, '%Y-%m-%d') AS start_date, strftime(end_date, '%Y-%m-%d') AS end_date, CAST(days AS integer) AS days FROM pkg""",
     "q09_bonus_table": f"WITH {_BONUS} SELECT * FROM bonus",
     "q10_package_bonus": f"""WITH {_WP}, {_PACKAGES}, {_BONUS} SELECT workpack_id, coalesce(bonus_hours, 0) AS bonus_hours
         FROM pkg LEFT JOIN bonus ON product_code = wp_type AND aircraft_code = ac_type""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -36,16 +37,24 @@ class Lookups:
     type_coefficient_rows: DataFrame | None = None
 
 
-def build_reports(lines: DataFrame, lookups: Lookups, cfg: EngineConfig) -> dict[str, DataFrame]:
-    """{dataset: DataFrame}, each keyed by ``workpack_id``; nothing runs yet.
+def build_reports(
+    lines: DataFrame,
+    lookups: Lookups,
+    cfg: EngineConfig,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+) -> dict[str, DataFrame]:
+    """{dataset: DataFrame}, each keyed by ``workpack_id``.
 
-    Every dataset reads the line table by itself with only the columns it needs,
-    which on a columnar table is cheaper than caching all of them.
+    Most datasets start from the kept lines, the others from the line table or
+    the package headers. ``stage`` can store those two under a name and return
+    the stored table, so that the large shuffles run once for all datasets; by
+    default nothing is stored and nothing runs yet.
     """
     quality.require_columns(lines, REQUIRED_COLUMNS, "line table")
     registrations = packages.registration_table(lookups.registrations)
     bonus_hours = bonus.bonus_table(lookups.bonus_rows)
     headers = packages.with_aircraft_type(packages.package_headers(lines, cfg), registrations)
+    headers = stage(headers, "headers")
 
     kept = line_ops.kept_lines(lines, cfg)
     by_type = cfg.coefficient_system == "type" and lookups.type_coefficient_rows is not None
@@ -53,6 +62,7 @@ def build_reports(lines: DataFrame, lookups: Lookups, cfg: EngineConfig) -> dict
         table = type_coefficients.type_coefficient_table(lookups.type_coefficient_rows)
     if by_type:
         kept = type_coefficients.with_type_hours(kept, headers, table, cfg)
+    kept = stage(kept, "kept_lines")
     mhr = line_ops.sheet_gate(kept.where("processed").drop("processed"), cfg, "mhr")
 
     high = line_ops.high_hour_tasks(mhr, cfg).select(
@@ -72,7 +82,7 @@ def build_reports(lines: DataFrame, lookups: Lookups, cfg: EngineConfig) -> dict
         "new_task_ids": new_tasks.new_task_report(found),
         "bonus_breakdown": bonus.bonus_breakdown(headers, lookups.bonus_rows),
         "coefficient_summary": coefficients.coefficient_summary(mhr, cfg),
-        "run_metrics": metrics.run_metrics(lines, cfg),
+        "run_metrics": metrics.run_metrics(lines, kept, cfg),
         "sample": sampling.sample_per_package(mhr, identity, cfg.sample_size, cfg.sample_seed),
     }
     if cfg.enable_special_code and "special_code" in lines.columns:

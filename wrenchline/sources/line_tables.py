@@ -5,10 +5,12 @@ One file is one work package; its name is the ``workpack_id``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wrenchline.config import REQUIRED_COLUMNS, TOOL_COLUMNS, EngineConfig
 from wrenchline.operators.quality import require_columns
@@ -71,30 +73,32 @@ def rename_exports(df: DataFrame, cfg: EngineConfig) -> DataFrame:
     return df.withColumnsRenamed({e: n for e, n in cfg.columns.items() if e in df.columns})
 
 
-def read_exports(spark: SparkSession, folder: str, file_format: str, cfg: EngineConfig) -> DataFrame:
+def read_exports(
+    spark: SparkSession, folder: str, file_format: str, cfg: EngineConfig, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Line table from a folder of csv, json or parquet files with the same columns.
 
-    ``row_no`` needs no shuffle: parquet files number their rows, and for the
-    text formats it is the start of the file split plus the row's place in its
-    task. A task reads fewer rows than a split has bytes, so later splits of a
-    file always number higher.
+    ``columns`` are the export's column names; given them, json files are not
+    read an extra time to find out. ``row_no`` needs no shuffle: parquet files
+    number their rows, and in text formats it is the file split's start and the
+    row's place in the task that reads it.
     """
     if file_format not in FORMATS:
         raise ValueError(f"unknown format {file_format!r}; expected one of {FORMATS}")
-    reader = spark.read.format(file_format).option("pathGlobFilter", f"*.{file_format}")
+    reader = spark.read.format(file_format).option("pathGlobFilter", f"*.{file_format}*")
     if file_format == "csv":
         # A file with other columns is an error, not silently shifted values.
         reader = reader.option("header", True).option("enforceSchema", False)
     elif file_format == "json":
         reader = reader.option("primitivesAsString", True)
-    else:
-        reader = reader.option("mergeSchema", True)
+    if columns and file_format != "parquet":
+        reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
     df = reader.load(folder)
     if file_format == "parquet":
         position = F.col("_metadata.row_index")
     else:
-        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        position = F.col("_metadata.file_block_start") + place
+        place = F.monotonically_increasing_id()
+        position = F.struct(F.col("_metadata.file_block_start").alias("split"), place.alias("place"))
     exported = [F.col(f"`{c}`") for c in df.columns]
     rows = df.select(
         workbook.file_stem(F.col("_metadata.file_path")).alias("workpack_id"), position.alias("row_no"), *exported

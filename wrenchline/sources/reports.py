@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BUCKET = "package_bucket"
 
@@ -22,6 +23,9 @@ def write_report(
     is split over several, small buckets are merged.
     """
     path = f"{folder}/{dataset}/run={run_id}"
+    if file_format == "csv":  # no nested values in csv
+        nested = [f.name for f in df.schema if isinstance(f.dataType, StructType)]
+        df = df.withColumns({name: F.to_json(name) for name in nested})
     out = df.select("*", package_bucket(buckets)).hint("rebalance", BUCKET)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET)
     if file_format == "csv":

@@ -207,7 +207,7 @@ def _decode_files(first_sheet_only: bool):
 def file_stem(path: Column) -> Column:
     """File name without folder and extension."""
     name = F.url_decode(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\+", "%2B"))
-    return F.regexp_replace(name, r"\.[^.]*$", "")
+    return F.regexp_replace(name, r"(\.(csv|json|parquet))?\.[^.]*$", "")
 
 
 def workbook_files(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
