@@ -76,3 +76,68 @@ def test_skewed_package_is_cut_before_the_shuffle(spark):
     assert result["HOT"] == 1 and len(result) == 1001
     first = kept.where("workpack_id = 'HOT'").collect()[0]
     assert first["row_no"] == 0
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def set_all(**settings):
+        for key, value in settings.items():
+            name = "spark.sql." + key.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield set_all
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, conf):
+    """The JVM leaves methods over 8,000 bytecodes interpreted."""
+    conf(adaptive__enabled="false")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    for name, query in entry.queries().items():
+        stages = debug.codegenStringSeq(query(spark, FOLDER)._jdf.queryExecution().executedPlan())
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert max(sizes) < 8000, (name, max(sizes))
+
+
+def test_hot_package_is_split_in_line_joins(spark, conf):
+    """A package with a third of the lines: the join to its header is spread over tasks."""
+    from pyspark.sql import functions as F
+
+    from wrenchline.config import EngineConfig
+    from wrenchline.operators import packages, type_coefficients
+
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        shuffle__partitions="16",
+        adaptive__advisoryPartitionSizeInBytes="20000",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="40000",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    hot = F.col("id") % 3 == 0
+    lines = spark.range(0, 90_000, 1, 8).select(
+        F.when(hot, "HOT").otherwise(F.concat(F.lit("P"), F.col("id") % 3000)).alias("workpack_id"),
+        F.col("id").alias("row_no"),
+        F.concat(F.lit("2."), F.col("id")).alias("seq"),
+        F.lit("x").alias("title"),
+        F.lit("60").alias("planned_min"),
+        F.lit("VN1-A06").alias("wpno"),
+        F.when(F.col("id") % 2 == 0, "ENG").otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("func_group"),
+    )
+    cfg = EngineConfig()
+    registrations = spark.createDataFrame([("VN1", "787")], "regis string, ac_type string")
+    headers = packages.with_aircraft_type(packages.package_headers(lines, cfg), registrations)
+    table = spark.createDataFrame(
+        [("A-CHECK", "787", "ENG", 2.0)],
+        "check_group string, aircraft_code string, func_group string, type_coefficient double",
+    )
+    rows = type_coefficients.type_coefficient_lines(lines, headers, table, cfg)
+    result = rows.agg(F.count("*").alias("n"), F.sum("adjusted_hours").alias("h"))
+    assert result.collect()[0].asDict() == {"n": 90_000, "h": 135_000.0}
+    text = result._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin\(skew=true\) \[workpack_id", text)
