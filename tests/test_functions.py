@@ -90,6 +90,17 @@ def test_inclusive_days(spark, zone):
     assert [r["d"] for r in rows] == [d for _, _, d in pairs]
 
 
+def test_to_timestamp(spark):
+    from pyspark.sql.types import StringType
+
+    day = dt.datetime(2024, 1, 2)
+    cases = {
+        "2024-01-02": day, "2024-01-02 10:30:00": day.replace(hour=10, minute=30), "1/2/2024": day, "01/02/2024 10:30": day.replace(hour=10, minute=30),
+        "2-Jan-2024": day, "02 Jan 2024": day, "2024/1/2": day, "soon": None, "": None, None: None,
+    }
+    assert evaluate(spark, lambda c: hours.to_timestamp(c, StringType()), cases) == list(cases.values())
+
+
 def test_strip_like_python(spark):
     inputs = [f"{c}a b{c}" for c in map(chr, (9, 10, 11, 12, 13, 28, 31, 32, 0x85, 0xA0, 0x2003, 0x3000, 0x200B))]
     assert evaluate(spark, text.strip, inputs) == [s.strip() for s in inputs]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DayTimeIntervalType, NumericType
+from pyspark.sql.types import DataType, DayTimeIntervalType, NumericType, StringType, TimestampNTZType
 
 from wrenchline.functions.text import SPACE, number
 
@@ -84,6 +84,20 @@ def time_to_hours(value: Column, dtype: DataType | None = None) -> Column:
     return F.coalesce((days + clock) / 3600.0, F.lit(0.0))
 
 
+# Day texts beside the ISO form; month first, as spreadsheets in US format write.
+_DAY_FORMATS = ("M/d/yyyy[ H:mm[:ss]]", "d-MMM-yyyy[ H:mm[:ss]]", "d MMM yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]")
+
+
+def to_timestamp(value: Column, dtype: DataType) -> Column:
+    """Date and time without a zone; null where a text is no date."""
+    if isinstance(dtype, TimestampNTZType):
+        return value
+    if not isinstance(dtype, StringType):
+        return value.try_cast("timestamp_ntz")
+    others = [F.try_to_timestamp(value, F.lit(f)).cast("timestamp_ntz") for f in _DAY_FORMATS]
+    return F.coalesce(value.try_cast("timestamp_ntz"), *others)
+
+
 def inclusive_days(start: Column, end: Column) -> Column:
     """Elapsed 24 h blocks + 1, rounded down also for negative spans.
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
 from wrenchline.config import EngineConfig
 from wrenchline.functions import ids
-from wrenchline.functions.hours import decimal_sum, hours_to_hhmm, inclusive_days, rounded
+from wrenchline.functions.hours import decimal_sum, hours_to_hhmm, inclusive_days, rounded, to_timestamp
 from wrenchline.functions.text import strip, text_or_nan
 from wrenchline.operators.lines import in_sheet
 
@@ -16,34 +15,30 @@ HEADER_FIELDS = ("wpno", "start_date", "end_date")
 
 
 def header_struct(df: DataFrame) -> Column:
-    """The header fields the export has; dates read without a time zone."""
-    fields = []
-    for name in HEADER_FIELDS:
-        if name not in df.columns:
-            kind = "string" if name == "wpno" else "timestamp_ntz"
-            value = F.lit(None).cast(kind)
-        elif name == "wpno" or isinstance(df.schema[name].dataType, TimestampNTZType):
-            value = F.col(name)
-        else:
-            value = F.col(name).try_cast("timestamp_ntz")
-        fields.append(value.alias(name))
-    return F.struct(*fields)
+    """The header fields as the line table has them, null where it lacks one."""
+    fields = [F.col(f) if f in df.columns else F.lit(None).cast("string") for f in HEADER_FIELDS]
+    return F.struct(*[field.alias(name) for field, name in zip(fields, HEADER_FIELDS)])
 
 
 def expand_header(packages: DataFrame, cfg: EngineConfig, header: str = "header") -> DataFrame:
     """Header struct to aircraft name, package type, check group and duration."""
+    kinds = {field.name: field.dataType for field in packages.schema[header].dataType}
     wpno = F.col(f"{header}.wpno")
-    start, end = F.col(f"{header}.start_date"), F.col(f"{header}.end_date")
-    return packages.withColumns(
+    start, end = [to_timestamp(F.col(f"{header}.{d}"), kinds[d]) for d in ("start_date", "end_date")]
+    named = packages.withColumns(
         {
             "ac_name": ids.aircraft_name(wpno, cfg.aircraft_name_part),
             "wp_type": ids.package_type(wpno),
-            "check_group": ids.check_group(ids.package_type(wpno)),
             "start_date": start,
             "end_date": end,
-            "days": inclusive_days(start, end),
         }
     ).drop(header)
+    return named.withColumns(
+        {
+            "check_group": ids.check_group(F.col("wp_type")),
+            "days": inclusive_days(F.col("start_date"), F.col("end_date")),
+        }
+    )
 
 
 def package_headers(lines: DataFrame, cfg: EngineConfig) -> DataFrame:

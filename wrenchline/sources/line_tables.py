@@ -44,7 +44,7 @@ def lines_from_cells(cells: DataFrame, cfg: EngineConfig) -> DataFrame:
     columns = {n: workbook.text_of(_export_name(cfg, n)) for n in names}
     for date in {"start_date", "end_date"}.intersection(names):
         both = _all_of(cfg, ("start_date", "end_date"))
-        columns[date] = F.when(both, columns[date].try_cast("timestamp_ntz"))
+        columns[date] = F.when(both, columns[date])
     return rows.select(
         "workpack_id",
         "row_no",
