@@ -49,6 +49,14 @@ def evaluate(spark, expression, inputs, dtype="string"):
 class Date(float):
     """A number shown as a date."""
 
+    style = 1
+
+
+class Span(Date):
+    """A number shown as elapsed time."""
+
+    style = 2
+
 
 def _letters(index: int) -> str:
     name = ""
@@ -65,7 +73,7 @@ def _cell_xml(reference: str, value, strings: list[str]) -> str:
     if isinstance(value, bool):
         return f'<c r="{reference}" t="b"><v>{int(value)}</v></c>'
     if isinstance(value, Date):
-        return f'<c r="{reference}" s="1"><v>{float(value)!r}</v></c>'
+        return f'<c r="{reference}" s="{value.style}"><v>{float(value)!r}</v></c>'
     if isinstance(value, (int, float)):
         return f'<c r="{reference}"><v>{value!r}</v></c>'
     if value.startswith("inline:"):
@@ -100,5 +108,5 @@ def write_workbook(path, sheets: dict[str, list[list]]) -> None:
         out.writestr(
             "xl/styles.xml",
             f'<styleSheet xmlns="{main}"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd"/></numFmts>'
-            '<cellXfs><xf numFmtId="0"/><xf numFmtId="164"/></cellXfs></styleSheet>',
+            '<cellXfs><xf numFmtId="0"/><xf numFmtId="164"/><xf numFmtId="46"/></cellXfs></styleSheet>',
         )

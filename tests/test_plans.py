@@ -110,6 +110,7 @@ def test_hot_package_is_split_in_line_joins(spark, conf):
 
     from wrenchline.config import EngineConfig
     from wrenchline.operators import packages, type_coefficients
+    from wrenchline.operators.lines import kept_lines
 
     conf(
         autoBroadcastJoinThreshold="-1",
@@ -141,3 +142,10 @@ def test_hot_package_is_split_in_line_joins(spark, conf):
     assert result.collect()[0].asDict() == {"n": 90_000, "h": 135_000.0}
     text = result._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"SortMergeJoin\(skew=true\) \[workpack_id", text)
+
+    # The sums per package need the lines by package again; the split still happens.
+    kept = type_coefficients.with_type_hours(kept_lines(lines, cfg), headers, table, cfg)
+    sums = packages.package_sums(kept, cfg)
+    assert sums.where("workpack_id = 'HOT'").select("adjusted_hours").collect()[0][0] == 45_000.0
+    sums.collect()
+    assert "SortMergeJoin(skew=true)" in sums._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ import dataclasses
 import gzip
 
 import pytest
-from helpers import Date, values, write_workbook
+from helpers import Date, Span, values, write_workbook
 from pyspark.sql import functions as F
 
 from wrenchline.config import DEFAULT_CONFIG as CFG
@@ -28,7 +28,7 @@ def test_workbook_cells(spark, tmp_path):
                 ["text", 2.10, True, 7],
                 None,
                 ["N/A", "inline:in", False, Date(45292.5)],
-                ["error:#DIV/0!", 3.0, None, Date(0.25)],
+                ["error:#DIV/0!", 3.0, Span(1.5), Date(0.25)],
                 [None, None, None, None],
             ],
             "Second": [["z"], ["other sheet"]],
@@ -45,7 +45,7 @@ def test_workbook_cells(spark, tmp_path):
     assert cells_of(rows[1]) == {"a": ("s", "text"), "b": ("n", "2.1"), "Unnamed: 2": ("b", "True"), "a.1": ("n", "7")}
     assert set(cells_of(rows[2]).values()) == {None}
     assert cells_of(rows[3]) == {"a": None, "b": ("s", "in"), "Unnamed: 2": ("b", "False"), "a.1": ("d", "2024-01-01 12:00:00")}
-    assert cells_of(rows[4]) == {"a": None, "b": ("n", "3.0"), "Unnamed: 2": None, "a.1": ("d", "06:00:00")}
+    assert cells_of(rows[4]) == {"a": None, "b": ("n", "3.0"), "Unnamed: 2": ("d", "1 days 12:00:00"), "a.1": ("d", "06:00:00")}
     both = workbook.read_cells(spark, str(tmp_path), first_sheet_only=False)
     assert sorted(values(workbook.data_rows(both).groupBy("sheet").count())) == [("First", 4), ("Second", 1)]
     listed = workbook.workbook_files(spark, str(tmp_path))

@@ -374,3 +374,28 @@ def q42_display_hours(spark, folder):
         hours.time_to_hours(F.col("clock")).alias("clock_hours"),
         display.format_percentage(F.col("base_hours") / 24).alias("day_share"),
     )
+
+
+@query
+def q43_first_functions(spark, folder):
+    """Distinct functions of a package with the line they first occur in."""
+    rows = star.lines(spark, folder, "seq", "planned_min", "func_group")
+    seen = type_coefficients.first_seen_functions(rows, CFG).withColumnRenamed("first_row", "row_no")
+    return _line(seen, "func_group")
+
+
+@query
+def q44_plain_coefficient(spark, folder):
+    """Coefficients by sequence alone, on all lines and without skip codes."""
+    rows = line_ops.with_base_hours(star.lines(spark, folder, "seq", "planned_min"))
+    return _line(line_ops.with_coefficient(rows, CFG, use_skip_codes=False), "coefficient", "adjusted_hours")
+
+
+@query
+def q45_totals_by_type(spark, folder):
+    """Package totals with type coefficients in place of the sequence ones."""
+    kept = type_coefficients.with_type_hours(
+        _kept(spark, folder, "func_group"), _packages(spark, folder), _type_table(spark, folder), CFG
+    )
+    totals = packages.package_totals(kept, _registrations(spark, folder), _bonus(spark, folder), CFG)
+    return totals.select("workpack_id", "base_hours", "adjusted_hours", "bonus_hours", "total_hours")

@@ -305,6 +305,17 @@ ORACLES = {
         SELECT workpack_id, {_POS}, printf('%02d:%02d:30', minutes // 60, minutes % 60) AS clock,
           ((minutes // 60) * 3600.0::double + (minutes % 60) * 60.0::double + 30.0::double) / 3600.0::double AS clock_hours,
           printf('%.1f%%', base_hours / 24 * 100) AS day_share FROM m""",
+    "q43_first_functions": f"""WITH {_BASE} SELECT workpack_id, func_group, {_POS} FROM mhr
+        QUALIFY row_number() OVER (PARTITION BY workpack_id, func_group ORDER BY {_POS}) = 1""",
+    "q44_plain_coefficient": f"""WITH {_LINES}, c AS (SELECT *, CASE WHEN split_part(seq, '.', 1) IN ('2', '3') THEN 2.2::double ELSE 1.1::double END AS k FROM ln)
+        SELECT workpack_id, {_POS}, k AS coefficient, base_hours * k AS adjusted_hours FROM c""",
+    "q45_totals_by_type": f"""WITH {_TYPED}, {_BONUS},
+        sums AS (SELECT workpack_id, {_sum('base_hours')} AS base, {_sum('base_hours * type_coefficient')} AS adjusted
+          FROM typed GROUP BY workpack_id)
+        SELECT p.workpack_id, coalesce(base, 0) AS base_hours, coalesce(adjusted, 0) AS adjusted_hours,
+          coalesce(b.bonus_hours, 0) AS bonus_hours, coalesce(adjusted, 0) + coalesce(b.bonus_hours, 0) AS total_hours
+        FROM pkg p LEFT JOIN sums USING (workpack_id)
+        LEFT JOIN bonus b ON product_code = wp_type AND aircraft_code = ac_type""",
 }
 
 

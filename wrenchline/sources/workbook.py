@@ -44,6 +44,7 @@ NA_TEXTS = frozenset(
 )
 # Built-in number formats that show a date or time.
 _DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
+_ELAPSED_FORMAT = 46
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -66,31 +67,33 @@ def _all_text(element: ElementTree.Element) -> str:
     return "".join(t.text or "" for run in runs for t in run.findall(f"{_MAIN}t"))
 
 
-def _date_styles(archive: zipfile.ZipFile) -> set[int]:
-    """Cell styles whose number format shows a date or time."""
+def _date_styles(archive: zipfile.ZipFile) -> dict[int, bool]:
+    """Cell styles that show a date or time; true for those that show elapsed time."""
     if "xl/styles.xml" not in archive.namelist():
-        return set()
+        return {}
     root = ElementTree.fromstring(archive.read("xl/styles.xml"))
     custom = {int(f.get("numFmtId")): f.get("formatCode", "") for f in root.iter(f"{_MAIN}numFmt")}
     formats = root.find(f"{_MAIN}cellXfs")
-    styles = set()
+    styles = {}
     for index, style in enumerate(formats if formats is not None else ()):
         number = int(style.get("numFmtId", 0))
-        letters = re.sub(r'"[^"]*"|\\.|\[(?![hms]+\])[^\]]*\]', "", custom.get(number, "")).lower()
+        code = custom.get(number, "[h]" if number == _ELAPSED_FORMAT else "")
+        letters = re.sub(r'"[^"]*"|\\.|\[(?![hms]+\])[^\]]*\]', "", code.lower())
         if number in _DATE_FORMATS or re.search("[ymdhs]", letters):
-            styles.add(index)
+            styles[index] = bool(re.search(r"\[[hms]+\]", letters))
     return styles
 
 
-def _serial_text(serial: float, epoch: dt.datetime) -> str:
-    """Date serial as date and time, or as a clock time below one day."""
-    moment = epoch + dt.timedelta(milliseconds=round(serial * 86400000))
-    if 0 <= serial < 1:
-        return moment.time().isoformat()
-    return moment.isoformat(sep=" ")
+def _serial_text(serial: float, epoch: dt.datetime, elapsed: bool) -> str:
+    """Date serial as date and time, as a clock time below one day, or as elapsed time."""
+    span = dt.timedelta(milliseconds=round(serial * 86400000))
+    clock = (dt.datetime.min + (span - dt.timedelta(days=span.days))).time().isoformat()
+    if elapsed:
+        return f"{span.days} days {clock}"
+    return clock if 0 <= serial < 1 else (epoch + span).isoformat(sep=" ")
 
 
-def _cell(cell, strings: list[str], dates: set[int], epoch: dt.datetime) -> dict | None:
+def _cell(cell, strings: list[str], dates: dict[int, bool], epoch: dt.datetime) -> dict | None:
     """{kind, text} of a cell, None when it is empty."""
     kind = cell.get("t", "n")
     if kind == "inlineStr":
@@ -107,8 +110,9 @@ def _cell(cell, strings: list[str], dates: set[int], epoch: dt.datetime) -> dict
         return {"kind": "b", "text": "True" if value.strip() == "1" else "False"}
     if kind == "d":
         return {"kind": "d", "text": value.replace("T", " ")}
-    if int(cell.get("s", 0)) in dates:
-        return {"kind": "d", "text": _serial_text(float(value), epoch)}
+    style = int(cell.get("s", 0))
+    if style in dates:
+        return {"kind": "d", "text": _serial_text(float(value), epoch, dates[style])}
     # Whole numbers stay whole, others take their shortest form.
     is_float = any(mark in value for mark in ".eE")
     return {"kind": "n", "text": repr(float(value)) if is_float else str(int(value))}
