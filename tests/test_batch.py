@@ -42,7 +42,7 @@ def folders(tmp_path):
         reference / "types.xlsx",
         {"S": [["AircraftCode", "CheckGroup", "FuncGroup", "Coeff"], ["787", "A-CHECK", "ENG", 2.0]]},
     )
-    (reference / "ignore_item.txt").write_text("oil\n")
+    (reference / "ignore_list.txt").write_text("oil\n")
     paths = BatchPaths(
         str(source), str(reference), str(tmp_path / "out"), "ids.xlsx", "regis.xlsx", "norms.xlsx", "types.xlsx"
     )

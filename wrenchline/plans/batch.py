@@ -26,7 +26,7 @@ class BatchPaths:
     registrations: str
     bonus_norms: str
     type_coefficients: str | None = None
-    ignore_list: str = "ignore_item.txt"
+    ignore_list: str = "ignore_list.txt"
 
 
 def work_folder(spark: SparkSession, fallback: str) -> str:

@@ -63,7 +63,7 @@ def ingest_status(cells: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.col("error"),
         F.when(F.col("columns").isNotNull() & (missing != ""), F.concat(F.lit("Missing required columns: "), missing)),
     )
-    files = cells.groupBy("workpack_id").agg(F.count("cells").alias("rows"), F.max(problem).alias("error"))
+    files = cells.groupBy("workpack_id").agg(F.count_if(F.col("row_no") >= 0).alias("rows"), F.max(problem).alias("error"))
     status = F.when(F.col("error").isNull(), "ok").otherwise("failed")
     return files.select("workpack_id", status.alias("status"), "rows", "error")
 

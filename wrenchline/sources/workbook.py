@@ -229,7 +229,7 @@ def read_cells(
 
 
 def data_rows(cells: DataFrame) -> DataFrame:
-    return cells.where("cells IS NOT NULL")
+    return cells.where("row_no >= 0")
 
 
 def text_of(column: str) -> Column:
