@@ -89,3 +89,40 @@ def test_empty_folder(spark, folders, tmp_path):
 
 def test_work_folder(spark):
     assert work_folder(spark, "/x") == (spark.conf.get("spark.checkpoint.dir", None) or "/x")
+
+
+def test_reports_from_csv_exports(spark, tmp_path):
+    """Lines of another source, reports written as csv; row_no is a struct here."""
+    from wrenchline.plans.report import Lookups, build_reports
+    from wrenchline.sources import line_tables, reports
+
+    source = tmp_path / "csv"
+    source.mkdir()
+    names = HEADER[:-1]
+    rows = [f"2.{i % 30},24-{i % 7} (x,{i * 30},{'X' if i % 2 else 'Y'},VN1-A06,2024-01-01,2024-01-03,n{i},Y,p{i},0,{i % 2}" for i in range(90)]
+    (source / "WP9.csv").write_text("\n".join([",".join(names), *rows]) + "\n")
+    lines = line_tables.read_exports(spark, str(source), "csv", CFG)
+    empty = spark.createDataFrame([], "item string")
+    lookups = Lookups(
+        registrations=spark.createDataFrame([("VN1", "787", 0)], "regis string, ac_type string, row_no int"),
+        bonus_rows=spark.createDataFrame(
+            [("s", 0, "787", "A06", 4.0)], "sheet string, row_no int, aircraft_code string, product_code string, hours double"
+        ),
+        reference=spark.createDataFrame([("task", "24-1")], "kind string, id string"),
+        ignore_items=empty,
+    )
+    datasets = build_reports(lines, lookups, CFG)
+    written = reports.write_reports(datasets, str(tmp_path / "out"), "r", buckets=2, file_format="csv")
+    filled = ("totals", "new_task_ids", "tool_issues", "sample", "special_codes")
+    read = {name: spark.read.option("header", True).csv(written[name]) for name in filled}
+    # No task is above the threshold: nothing but the schema is known of that dataset.
+    high = datasets["high_tasks"].drop("row_no")
+    assert spark.read.schema(high.schema).option("header", True).csv(written["high_tasks"]).count() == 0
+    # Keep-first: rows 0..29 with i * 30 minutes each, coefficient 2.2.
+    base = sum(range(30)) / 2
+    total = read["totals"].collect()[0]
+    assert (float(total["base_hours"]), float(total["adjusted_hours"]), total["days"]) == (base, pytest.approx(base * 2.2), "3")
+    assert float(total["total_hours"]) == pytest.approx(base * 2.2 + 4)
+    assert read["new_task_ids"].count() == sum(1 for i in range(30) if i % 7 != 1)
+    assert read["tool_issues"].count() == 45 and read["sample"].count() == 10
+    assert {r["label"] for r in read["special_codes"].collect()} == {"X", "Y", "TOTAL"}
