@@ -64,14 +64,8 @@ def sheet_gate(lines: DataFrame, cfg: EngineConfig, sheet: str) -> DataFrame:
     return lines.where(in_sheet(cfg, sheet))
 
 
-def kept_lines(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """First line per (package, base gate, key), with its hours.
-
-    Lines the base gate drops are kept apart (``processed`` is part of the key)
-    instead of filtered, so every package keeps its first line. Package headers,
-    empty packages and hour sums then come from one pass and one line shuffle.
-    A filter on ``processed`` moves below the shuffle by itself.
-    """
+def _with_values(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Task ID, hours and coefficient, as far as their columns are there."""
     rows = lines
     if "title" in lines.columns:
         rows = with_task_id(rows, cfg)
@@ -79,13 +73,27 @@ def kept_lines(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
         rows = with_base_hours(rows)
         if "title" in lines.columns:
             rows = with_coefficient(rows, cfg)
-    rows = rows.withColumn("processed", ids.should_process(cfg, F.col("seq")))
-    return keep_first(rows, ["workpack_id", "processed", dedup_key(lines)])
+    return rows
+
+
+def kept_lines(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """First line per key where the base gate lets it pass, and the first of all others.
+
+    The lines the gate drops are not filtered but reduced to one per package
+    (``processed`` is false there), so every package keeps its first line.
+    Package headers, empty packages and hour sums then come from one pass and
+    one line shuffle.
+    """
+    processed = ids.should_process(cfg, F.col("seq"))
+    rows = _with_values(lines, cfg).withColumn("processed", processed)
+    key = F.when(F.col("processed"), dedup_key(lines))
+    return keep_first(rows, ["workpack_id", "processed", key])
 
 
 def base_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Base gate, then keep-first."""
-    return kept_lines(lines, cfg).where("processed").drop("processed")
+    """Base gate, then keep-first; the gate is applied where the lines are read."""
+    rows = _with_values(lines.where(ids.should_process(cfg, F.col("seq"))), cfg)
+    return keep_first(rows, ["workpack_id", dedup_key(lines)])
 
 
 def mhr_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
