@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wrenchline.llm import byte_bpe, decontamination, line_dedup, quality
+from wrenchline.llm import byte_bpe, decontamination, line_dedup, ngram_join, quality
 from wrenchline.llm.common import Stages, table
 from wrenchline.llm.queries import vocabulary
 from wrenchline.shipping import ship_package
@@ -27,6 +27,12 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return line_dedup.deduplicated(docs)
 
 
+def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    ship_package(spark)
+    return ngram_join.one_per_group(docs, spark)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"), spark)
@@ -41,6 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality_filter),
     ("line_dedup", line_dedup_stage),
+    ("ngram_join", ngram_join_stage),
     ("decontamination", decontaminate),
     ("byte_bpe", encode),
 ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wrenchline.llm import byte_bpe, decontamination, line_dedup, pii, quality
+from wrenchline.llm import byte_bpe, decontamination, line_dedup, ngram_join, pii, quality, substring_dedup
 from wrenchline.llm.common import table
 from wrenchline.shipping import ship_package
 
@@ -28,10 +28,20 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(table(spark, sf_dir, "documents"), *vocabulary())
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return ngram_join.digest(table(spark, sf_dir, "documents"), spark)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return substring_dedup.digest(table(spark, sf_dir, "documents"), spark)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -42,7 +52,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_byte_bpe, op4_line_dedup, op8_quality, op9_decontamination)
+    f.__name__: f for f in (op1_pii, op2_byte_bpe, op3_ngram_join, op4_line_dedup, op5_substring_dedup, op8_quality, op9_decontamination)
 }
 
 ORACLES: dict[str, str] = {
