@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wrenchline.llm import byte_bpe, decontamination, line_dedup, ngram_join, pii, quality, substring_dedup
+from wrenchline.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, pii, quality, substring_dedup, topk, warc
 from wrenchline.llm.common import table
 from wrenchline.shipping import ship_package
 
@@ -42,6 +42,15 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"), spark)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"), spark)
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return topk.digest(table(spark, sf_dir, "embeddings"), spark)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -51,11 +60,22 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spark)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.drill(table(spark, sf_dir, "pages"), spark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_byte_bpe, op3_ngram_join, op4_line_dedup, op5_substring_dedup, op8_quality, op9_decontamination)
-}
+    f.__name__: f
+    for f in (
+        op1_pii, op2_byte_bpe, op3_ngram_join, op4_line_dedup, op5_substring_dedup,
+        op6_chat_format, op7_topk, op8_quality, op9_decontamination, op10_warc,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
+    "op6_chat_format": chat.ORACLE,
+    "op7_topk": topk.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
+    "op10_warc": warc.ORACLE,
 }
