@@ -313,6 +313,17 @@ def _result(links: list, edges: list) -> pa.Table:
     )
 
 
+_BLOCK = pa.schema(
+    [("id", pa.binary()), ("other", pa.binary()), ("n_links", pa.int64()), ("blob", pa.binary()), ("root", pa.binary()), ("n_blocks", pa.int32()), ("block", pa.int32())]
+)
+
+
+def _rows(result: pa.Table) -> pa.Table:
+    """Result rows with the columns of a block left empty."""
+    rest = [pa.nulls(result.num_rows, field.type) for field in list(_BLOCK)[3:]]
+    return pa.table([*result.columns, *rest], schema=_BLOCK)
+
+
 def _open(blob: bytes) -> dict:
     return pickle.loads(zlib.decompress(blob))
 
@@ -329,6 +340,12 @@ def verified(rows: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
         for i, c, s in zip(*(group.column(n).to_pylist() for n in ("id", "copies", "shingles")), strict=True):
             seen[i] = (c, np.unique(np.frombuffer(s, np.uint64)))
         ids = sorted(seen)
+        blocks = group.column("n_blocks")[0].as_py()
+        if len(ids) == 2 and blocks == 1:  # most clusters
+            (c1, a), (c2, b) = (seen[i] for i in ids)
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            linked = common * SIMILARITY[1] >= (len(a) + len(b) - common) * SIMILARITY[0]
+            return _rows(_result([(ids[0], c2), (ids[1], c1)], [tuple(ids)]) if linked else _result([], []))
         block = pack(np.array(ids, object), np.array([seen[i][0] for i in ids]), [seen[i][1] for i in ids])
         linked = similar(block, block)
         np.fill_diagonal(linked, False)
@@ -338,19 +355,11 @@ def verified(rows: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
         for start, y in edges:
             group_of[y] = start
         block["group"] = group_of
-        out = _result([(i, int(n)) for i, n in zip(ids, counts, strict=True) if n], [(ids[a], ids[b]) for a, b in edges])
-        blocks = group.column("n_blocks")[0].as_py()
-        extra = pa.nulls(out.num_rows, pa.binary())
-        out = out.append_column("blob", extra)
-        for name, kind in (("root", pa.binary()), ("n_blocks", pa.int32()), ("block", pa.int32())):
-            out = out.append_column(name, pa.nulls(out.num_rows, kind))
+        out = _rows(_result([(i, int(n)) for i, n in zip(ids, counts, strict=True) if n], [(ids[a], ids[b]) for a, b in edges]))
         if blocks > 1:
             blob = zlib.compress(pickle.dumps(block, 5), 1)
-            last = pa.table(
-                {"id": pa.nulls(1, pa.binary()), "other": pa.nulls(1, pa.binary()), "n_links": pa.nulls(1, pa.int64()), "blob": pa.array([blob], pa.binary()),
-                 "root": pa.array([group.column("root")[0].as_py()], pa.binary()), "n_blocks": pa.array([blocks], pa.int32()), "block": pa.array([group.column("block")[0].as_py()], pa.int32())}
-            )
-            out = pa.concat_tables([out, last])
+            place = [group.column(n)[0].as_py() for n in ("root", "n_blocks", "block")]
+            out = pa.concat_tables([out, pa.Table.from_pylist([dict(zip(_BLOCK.names, [None] * 3 + [blob, *place], strict=True))], _BLOCK)])
         return out
 
     schema = RESULT + ", blob binary, root binary, n_blocks int, block int"
