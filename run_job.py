@@ -16,7 +16,7 @@ from wrenchline.session import build_session
 
 
 def main() -> None:
-    parser = argparse.ArgumentParser(description="Man-hour reports of a folder of work packages.")
+    parser = argparse.ArgumentParser(description="Hour reports of a folder of work packages.")
     for name in ("input", "reference", "output", "run-id", "id-lists", "registrations", "bonus-norms"):
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--type-coefficients")

@@ -239,47 +239,41 @@ def test_new_ids_with_null_keys_on_both_sides(spark):
     assert values(new_tasks.new_task_summary(found), "total_new_ids", "unique_seqs") == [(4, 3)]
 
 
-TOOL_SAMPLE = (
-    ("2.1", "24-045-00 (00) - ITEM 1", "STD-1048", "JACK", "Y", "5", "0"),
-    ("2.1", "24-045-00 (00) - ITEM 1", "STD-1151", "WRENCH", "Y", "0", "0"),
-    ("2.1", "24-045-00 (00) - ITEM 1", "G00270", "SEAL", "N", "0", "2"),
-    ("2.2", "24-046-00 (00) - ITEM 2", "STD-1048", "JACK", "Y", "5", "0"),
-    ("2.2", "24-046-00 (00) - ITEM 2", "STD-1151", "WRENCH", "Y", "0", "0"),
-    ("2.2", "24-046-00 (00) - ITEM 2", "STD-1152", "GAUGE", "Y", "0", "0"),
-    ("2.2", "24-046-00 (00) - ITEM 2", "STD-858", "LAMP", "Y", "3", "1"),
-    ("3.1", "25-001-00 (00) - ITEM 3", "G00270", "SEAL", "N", "0", "2"),
-    ("3.1", "25-001-00 (00) - ITEM 3", "G50463", "OIL", "N", "0", "0"),
-    ("3.2", "25-002-00 (00) - ITEM 4", "STD-858", "LAMP", "Y", "3", "1"),
-    ("4.1", "EO-2024-001 / CABIN", "STD-6391", "RIG", "Y", "2", "0"),
-    ("4.1", "EO-2024-001 / CABIN", "STD-1330", "HOIST", "Y", "0", "0"),
-    ("4.2", "EO-2024-002 / CABIN", "", "", "Y", "0", "0"),
+# (sequence, title, part, name, kind, stock, alternate stock); one branch a row.
+TOOL_ROWS = (
+    ("3.7", "31-700-10 (01) - PUMP", "P-20", "SEALANT", "N", "0", "0"),  # spare, none left
+    ("3.7", "31-700-10 (01) - PUMP", "P-21", "SEALANT B", "N", "0", "7"),  # spare, alternate stock only
+    ("2.9", "52-110-03 (04) - DOOR", "K-1", "TORQUE KEY", "Y", "0", "0"),  # tool, none left
+    ("2.9", "52-110-03 (04) - DOOR", "K-2", "STAND", "Y", "9", "9"),  # tool in stock
+    ("2.10", "52-111-00 (00) - DOOR", "K-1", "TORQUE KEY", "Y", "0", "0"),  # the same part again
+    ("4.6", "EO-77 / GALLEY", "", "", "N", "0", "0"),  # no part and no name
+    ("4.8", "EO-78 / GALLEY", "K-3", "MIRROR", "Y", "0", "0"),  # an order's tool, none left
 )
 TOOL_FIELDS = "seq title part_no tool_name tool_flag total_qty alt_qty"
 
 
-def test_tool_sample(spark):
-    df = lines(spark, TOOL_FIELDS, *TOOL_SAMPLE)
+def test_tool_branches(spark):
+    df = lines(spark, TOOL_FIELDS, *TOOL_ROWS)
     issues = tools.tool_issues(df, frame(spark, "item string"), CFG)
     assert sorted(values(issues, "seq", "task_id", "part_no", "type")) == [
-        ("2.1", "24-045-00", "STD-1151", "Tool"),
-        ("2.2", "24-046-00", "STD-1151", "Tool"),
-        ("2.2", "24-046-00", "STD-1152", "Tool"),
-        ("3.1", "25-001-00", "G50463", "Spare"),
-        ("4.1", "EO-2024-001", "STD-1330", "Tool"),
+        ("2.10", "52-111-00", "K-1", "Tool"),
+        ("2.9", "52-110-03", "K-1", "Tool"),
+        ("3.7", "31-700-10", "P-20", "Spare"),
+        ("4.8", "EO-78", "K-3", "Tool"),
     ]
-    assert values(tools.tool_summary(issues)) == [("P", 5, 4, 1, 4, 4)]
-    assert values(tools.tool_counts_by_type(issues)) == [("P", 4, 1, 0)]
+    assert values(tools.tool_summary(issues)) == [("P", 4, 3, 1, 3, 4)]
+    assert values(tools.tool_counts_by_type(issues)) == [("P", 3, 1, 0)]
 
 
 def test_ignore_list_matches_whole_texts(spark):
-    df = lines(spark, TOOL_FIELDS, *TOOL_SAMPLE)
-    ignore = frame(spark, "item string", ("std-1151",), ("oil",), ("hois",), (None,))
+    df = lines(spark, TOOL_FIELDS, *TOOL_ROWS)
+    ignore = frame(spark, "item string", ("k-1",), ("sealant",), ("mirro",), (None,))
     issues = tools.tool_issues(df, ignore, CFG)
-    assert sorted(values(issues, "part_no")) == [("STD-1152",), ("STD-1330",)]
+    assert sorted(values(issues, "part_no")) == [("K-3",)]
 
 
 def test_tool_columns(spark):
-    df = lines(spark, TOOL_FIELDS, *TOOL_SAMPLE)
+    df = lines(spark, TOOL_FIELDS, *TOOL_ROWS)
     nothing = frame(spark, "item string")
     with pytest.raises(ValueError, match="alt_qty"):
         tools.tool_issues(df.drop("alt_qty"), nothing, CFG)
@@ -287,7 +281,7 @@ def test_tool_columns(spark):
     assert "percentage" in tools.tool_issues(df.withColumn("percentage", F.lit("5")), nothing, CFG).columns
     unchecked = df.withColumn("has_tool_columns", F.lit(False))
     assert values(tools.tool_issues(unchecked, nothing, CFG)) == []
-    repeated = lines(spark, TOOL_FIELDS, TOOL_SAMPLE[1], TOOL_SAMPLE[1])
+    repeated = lines(spark, TOOL_FIELDS, TOOL_ROWS[2], TOOL_ROWS[2])
     assert len(values(tools.tool_issues(repeated, nothing, CFG))) == 2
 
 
@@ -332,6 +326,8 @@ def test_type_coefficients(spark):
     assert sorted(values(totals)) == [("A", 3.0, 1.0), ("B", 1.0, 0.0), ("C", 1.0, 0.0)]
     without = type_coefficients.type_coefficient_lines(df.drop("func_group"), headers, table, CFG)
     assert {r[0] for r in values(without, "type_coefficient")} == {1.0}
+    pairs = type_coefficients.function_map(df, headers, table, CFG).where("workpack_id = 'A'")
+    assert len(values(pairs)) == 3
     small = dataclasses.replace(CFG, function_map_size=2)
     found = type_coefficients.function_map(df, headers, table, small).where("workpack_id = 'A'")
     assert sorted(values(found, "func_group", "type_coefficient")) == [(" ENG", 2.0), ("CAB", 1.0)]
@@ -395,3 +391,26 @@ def test_run_metrics_and_batch_result(spark):
 def test_keep_first_text(spark):
     docs = frame(spark, "doc_id bigint, text string", (3, "same"), (1, "same"), (2, "other"), (4, None), (5, None))
     assert sorted(values(text_dedup.keep_first_text(docs, "text", "doc_id"), "doc_id", "copies")) == [(1, 2), (2, 1), (4, 2)]
+
+
+def test_type_hours_are_rounded_once(spark):
+    """A third of an hour at coefficient 10, alone and over 300 functions."""
+    table = frame(
+        spark, "check_group string, aircraft_code string, func_group string, type_coefficient double",
+        *[("A-CHECK", "787", f"F{i}", 10.0 if i == 0 else 1.1) for i in range(300)],
+    )
+    registrations = frame(spark, "regis string, ac_type string", ("VN1", "787"))
+    for functions, base, extra in ((1, 0.3333, 3.0), (300, 100.0, 12.9667)):
+        df = lines(spark, "seq title planned_min func_group wpno", *[(f"2.{i}", "x", "20", f"F{i}", "VN1-A06") for i in range(functions)])
+        headers = packages.with_aircraft_type(packages.package_headers(df, CFG), registrations)
+        assert values(type_coefficients.type_coefficient_totals(df, headers, table, CFG)) == [("P", base, extra)]
+
+
+def test_huge_hours_do_not_end_a_run(spark):
+    df = lines(spark, "workpack_id seq title planned_min", ("A", "2.1", "x", "1e25"), ("A", "2.2", "x", "60"), ("B", "2.1", "x", "120"), ("C", "2.1", "x", "1e400"))
+    from wrenchline.operators import quality
+    from wrenchline.operators.lines import kept_lines
+
+    sums = packages.package_sums(kept_lines(df, CFG), CFG)
+    assert {r["workpack_id"]: r["base_hours"] for r in sums.collect()} == {"A": 1.0, "B": 2.0, "C": 0.0}
+    assert sorted(values(quality.oversized_hours(df), "workpack_id", "seq")) == [("A", "2.1"), ("C", "2.1")]

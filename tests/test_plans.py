@@ -6,6 +6,8 @@ import re
 import __spark_entry__ as entry
 import pytest
 
+from wrenchline.plans.catalog import all_queries
+
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -24,7 +26,7 @@ def plan(spark, name):
     return entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_cross_join_no_python_no_single_task(no_broadcast, name):
     text = plan(no_broadcast, name)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "InArrow"):
@@ -34,7 +36,7 @@ def test_no_cross_join_no_python_no_single_task(no_broadcast, name):
     assert single == (1 if name == "q28_empty_share" else 0)
 
 
-@pytest.mark.parametrize("name", ["q04_keep_first", "q12_totals", "q16_new_task_ids", "q24_function_map", "q26_sample"])
+@pytest.mark.parametrize("name", ["q04_keep_first", "q12_totals", "q16_new_task_ids", "q26_sample"])
 def test_keys_are_cut_down_before_the_shuffle(no_broadcast, name):
     text = plan(no_broadcast, name)
     assert re.search(r"Exchange hashpartitioning\([^\n]*\n[^\n]*WindowGroupLimit [^\n]*Partial", text)
@@ -98,7 +100,7 @@ def test_generated_methods_are_small_enough_to_be_compiled(spark, conf):
     """The JVM leaves methods over 8,000 bytecodes interpreted."""
     conf(adaptive__enabled="false")
     debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
-    for name, query in entry.queries().items():
+    for name, query in all_queries().items():
         stages = debug.codegenStringSeq(query(spark, FOLDER)._jdf.queryExecution().executedPlan())
         sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
         assert max(sizes) < 8000, (name, max(sizes))

@@ -1,4 +1,4 @@
-"""Maintenance man-hour analytics as Spark DataFrame operators.
+"""Maintenance labour-hour analytics as Spark DataFrame operators.
 
 Every work package lives in one DataFrame keyed by ``workpack_id``; each
 operator is a plain ``DataFrame -> DataFrame`` function.

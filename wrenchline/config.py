@@ -84,7 +84,7 @@ class EngineConfig:
     high_hours_basis: str = "base_hours"  # or "adjusted_hours"
     sample_size: int = 10
     sample_seed: int = 1
-    function_map_size: int = 15
+    function_map_size: int | None = None  # pairs per package; None: all
     shift_hours: float = 8
     eo_prefix: str = "EO"
     enable_special_code: bool = True

@@ -26,7 +26,8 @@ def minutes_to_hours(minutes: Column, dtype: DataType | None = None) -> Column:
 
 
 def as_decimal(hours: Column) -> Column:
-    return hours.cast(_SUM_TYPE)
+    """Hours as a decimal; null where they do not fit, which ``quality.oversized_hours`` lists."""
+    return hours.try_cast(_SUM_TYPE)
 
 
 def decimal_sum(hours: Column) -> Column:
@@ -45,7 +46,7 @@ def hours_sum(hours: Column) -> Column:
 
 def hours_to_hhmm(hours: Column) -> Column:
     """``HH:MM`` with half-even minutes; negative is ``00:00``, hours may exceed 99."""
-    minutes = F.rint(hours * 60).cast("bigint")
+    minutes = F.rint(hours * 60).try_cast("bigint")
     hour, minute = F.call_function("div", minutes, F.lit(60)), minutes % 60
     # At least two digits; lpad would cut longer hours and a formatter is slow.
     pad = lambda n: F.concat(F.when(n < 10, "0").otherwise(""), n.cast("string"))

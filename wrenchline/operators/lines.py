@@ -97,7 +97,7 @@ def base_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def mhr_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Lines that count for the man-hour totals."""
+    """Lines that count for the hour totals."""
     return sheet_gate(base_rows(lines, cfg), cfg, "mhr")
 
 

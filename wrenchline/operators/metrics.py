@@ -12,8 +12,8 @@ from wrenchline.operators.lines import in_sheet, with_base_hours
 def run_metrics(lines: DataFrame, kept: DataFrame, cfg: EngineConfig) -> DataFrame:
     """(package, stage, rows, hours) from all lines and the kept lines.
 
-    Stages: all lines; after base gate and keep-first; after the man-hour gate;
-    the same rows with coefficients. ``excluded_mhr`` counts what the man-hour
+    Stages: all lines; after base gate and keep-first; after the counted-hours gate;
+    the same rows with coefficients. ``excluded_mhr`` counts what the counted-hours
     gate removed.
     """
     zero = F.lit(0.0)

@@ -26,7 +26,7 @@ def reference_ids(task_ids: DataFrame, eo_ids: DataFrame) -> DataFrame:
 def new_task_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Keep-first over the whole table under the new-task rules.
 
-    Independent of the man-hour rows; a null sequence passes this gate.
+    Independent of the counted rows; a null sequence passes this gate.
     """
     gated = lines.where(ids.should_process(cfg, F.col("seq"), "newtask"))
     return keep_first(with_task_id(gated, cfg, "newtask"), ["workpack_id", dedup_key(lines)])

@@ -78,7 +78,7 @@ def with_bonus(packages: DataFrame, bonus: DataFrame) -> DataFrame:
 
 
 def package_sums(kept: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Header and man-hour sums of every package, 0 where no line counts.
+    """Header and hour sums of every package, 0 where no line counts.
 
     Takes the kept lines of ``lines.kept_lines``.
     """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wrenchline.config import EngineConfig
 from wrenchline.functions import ids
+from wrenchline.functions.hours import as_decimal, minutes_to_hours
 from wrenchline.functions.text import is_blank, number
 
 
@@ -93,3 +94,9 @@ def rule_findings(cfg: EngineConfig, required: Sequence[str] = ("2", "3", "4"))
         elif value < 0 or value > 10:
             findings.append(f"coefficient of prefix {prefix} is unusual: {value}")
     return findings
+
+
+def oversized_hours(lines: DataFrame) -> DataFrame:
+    """Lines whose hours are numbers too large to be summed; sums leave them out."""
+    hours = minutes_to_hours(F.col("planned_min"), lines.schema["planned_min"].dataType)
+    return lines.where(as_decimal(hours).isNull()).select("workpack_id", "row_no", "seq", "planned_min")

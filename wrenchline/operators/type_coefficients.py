@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wrenchline.config import EngineConfig
-from wrenchline.functions.hours import as_decimal, hours_sum, rounded
+from wrenchline.functions.hours import as_decimal, decimal_sum, rounded
 from wrenchline.functions.text import is_blank, lookup_key, number, strip
 from wrenchline.operators.bonus import active_rows
 from wrenchline.operators.keep_first import first_n, last_value
@@ -36,7 +36,7 @@ def table_statistics(table: DataFrame) -> DataFrame:
 
 
 def counted_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """The rows the coefficients apply to: man-hour rows, or all lines."""
+    """The rows the coefficients apply to: counted rows, or all lines."""
     if cfg.type_coefficient_per_seq:
         return mhr_rows(lines, cfg)
     return with_base_hours(lines)
@@ -85,7 +85,9 @@ def with_type_hours(
 
 def hours_per_function(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
     rows = counted_rows(lines, cfg)
-    return rows.groupBy("workpack_id", "func_group").agg(hours_sum(F.col("base_hours")).alias("base_hours"))
+    return rows.groupBy("workpack_id", "func_group").agg(
+        F.coalesce(decimal_sum(F.col("base_hours")), as_decimal(F.lit(0.0))).alias("base_hours")
+    )
 
 
 def additional_hours(
@@ -94,18 +96,19 @@ def additional_hours(
     """Adjusted less base hours per package and function.
 
     Lines are summed per (package, function) before any join: the coefficient is
-    constant there, so base x coefficient - base is the sum over the lines.
+    constant there, so base x coefficient - base is the sum over the lines. Both
+    hours stay decimals; results round them once.
     """
     rows = with_type_coefficient(hours_per_function(lines, cfg), packages, table, cfg)
-    extra = F.col("base_hours") * F.col("type_coefficient") - F.col("base_hours")
-    return rows.withColumn("additional_hours", rounded(as_decimal(extra)))
+    base = F.col("base_hours").cast("double")
+    return rows.withColumn("additional_hours", as_decimal(base * F.col("type_coefficient") - base))
 
 
 def type_coefficient_breakdown(
     lines: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig
 ) -> DataFrame:
     """Additional hours of named functions, where they are more than 0.01 away from 0."""
-    rows = additional_hours(lines, packages, table, cfg)
+    rows = additional_hours(lines, packages, table, cfg).withColumn("additional_hours", rounded(F.col("additional_hours")))
     named = rows.where(~is_blank(F.col("func_group")) & (F.abs("additional_hours") > 0.01))
     return named.select("workpack_id", "func_group", "additional_hours")
 
@@ -116,8 +119,8 @@ def type_coefficient_totals(
     """Additional hours of each package over all its functions, named or not."""
     rows = additional_hours(lines, packages, table, cfg)
     return rows.groupBy("workpack_id").agg(
-        hours_sum(F.col("base_hours")).alias("base_hours"),
-        hours_sum(F.col("additional_hours")).alias("additional_hours"),
+        rounded(F.sum("base_hours")).alias("base_hours"),
+        F.coalesce(rounded(F.sum("additional_hours")), F.lit(0.0)).alias("additional_hours"),
     )
 
 
@@ -130,11 +133,12 @@ def first_seen_functions(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
 def function_map(
     lines: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig
 ) -> DataFrame:
-    """First distinct (function, coefficient) pairs of each package.
+    """Distinct (function, coefficient) pairs of each package: all, or the first few where a size is set.
 
     A function has one coefficient in a package, so distinct functions are taken
-    and cut to size before the joins.
+    before the joins.
     """
-    seen = first_seen_functions(lines, cfg)
-    first = first_n(seen, ["workpack_id"], ["first_row"], cfg.function_map_size)
+    first = first_seen_functions(lines, cfg)
+    if cfg.function_map_size is not None:
+        first = first_n(first, ["workpack_id"], ["first_row"], cfg.function_map_size)
     return with_type_coefficient(first, packages, table, cfg)

@@ -73,7 +73,10 @@ def run_batch(
         log.warning("no workbooks in %s", paths.input)
     log.info("packages: %s", result)
 
-    lines = staged(line_tables.lines_from_cells(cells, cfg), f"{work}/lines")
+    # Rows that a file gave before it turned out unreadable are no result.
+    failed = spark.read.schema(status.schema).parquet(written["status"]).where("status = 'failed'").select("workpack_id")
+    whole = cells.join(failed, "workpack_id", "left_anti")
+    lines = staged(line_tables.lines_from_cells(whole, cfg), f"{work}/lines")
     stage = lambda df, name: staged(df, f"{work}/{name}")
     datasets = build_reports(lines, read_lookups(spark, paths), cfg, stage)
     return written | reports.write_reports(datasets, paths.output, run_id, buckets)

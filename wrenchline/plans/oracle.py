@@ -265,8 +265,7 @@ ORACLES = {
         WHERE abs(additional_hours) > 0.01 AND trim(func_group) <> ''""",
     "q24_function_map": f"""WITH {_TYPED},
         pairs AS (SELECT workpack_id, func_group, type_coefficient, min(row({_POS})) AS seen FROM typed GROUP BY ALL)
-        SELECT workpack_id, func_group, type_coefficient FROM pairs
-        QUALIFY row_number() OVER (PARTITION BY workpack_id ORDER BY seen) <= 15""",
+        SELECT workpack_id, func_group, type_coefficient FROM pairs""",
     "q25_text_keep_first": "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text",
     "q26_sample": f"""WITH {_BASE} SELECT workpack_id, {_POS}, seq FROM mhr QUALIFY row_number() OVER (
         PARTITION BY workpack_id ORDER BY md5('1|' || workpack_id || '|' || concat_ws('-', {_POS}))) <= 10""",
@@ -293,8 +292,9 @@ ORACLES = {
         UNION ALL SELECT p.workpack_id, 'mhr', count(b.workpack_id), {_STAGE_SUM} FROM (SELECT DISTINCT workpack_id FROM wp) p LEFT JOIN mhr b USING (workpack_id) GROUP BY 1
         UNION ALL SELECT p.workpack_id, 'excluded_mhr', count(b.workpack_id), {_STAGE_SUM} FROM (SELECT DISTINCT workpack_id FROM wp) p LEFT JOIN (SELECT * FROM base WHERE seq IS NULL) b USING (workpack_id) GROUP BY 1
         UNION ALL SELECT p.workpack_id, 'coefficient', count(b.workpack_id), coalesce({_sum('adjusted_hours')}, 0) FROM (SELECT DISTINCT workpack_id FROM wp) p LEFT JOIN mhr b USING (workpack_id) GROUP BY 1""",
-    "q38_type_coeff_totals": f"""WITH {_TYPED} SELECT workpack_id, {_sum('base_total')} AS base_hours,
-        {_sum('additional_hours')} AS additional_hours FROM per_function GROUP BY workpack_id""",
+    "q38_type_coeff_totals": f"""WITH {_TYPED} SELECT workpack_id, {_sum('base_hours')} AS base_hours,
+        CAST(round(sum(CAST(base_hours * type_coefficient AS decimal(28,8))) - sum(CAST(base_hours AS decimal(28,8))), 4) AS double) AS additional_hours
+        FROM typed GROUP BY workpack_id""",
     "q39_tool_counts": f"""WITH {_ISSUES} SELECT workpack_id, count(*) FILTER (type = 'Tool') AS tools,
         count(*) FILTER (type = 'Spare') AS spares, count(*) FILTER (type = 'Unknown') AS unknown FROM issues GROUP BY workpack_id""",
     "q40_special_code_usable": f"WITH {_WP} SELECT workpack_id, count(special_code) > 0 AS usable FROM wp GROUP BY ALL",
