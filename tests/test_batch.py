@@ -2,11 +2,13 @@
 
 import dataclasses
 
+import pandas as pd
 import pytest
 from helpers import Date, values, write_workbook
 
 from wrenchline.config import DEFAULT_CONFIG as CFG
 from wrenchline.plans.batch import BatchPaths, run_batch, work_folder
+from wrenchline.sources.settings import config_of, read_settings
 
 HEADER = [
     "SEQ", "forecast.event_display", "forecast.est_mh", "scl.special", "wph.wpno", "Start_date", "End_date",
@@ -42,7 +44,7 @@ def folders(tmp_path):
         reference / "types.xlsx",
         {"S": [["AircraftCode", "CheckGroup", "FuncGroup", "Coeff"], ["787", "A-CHECK", "ENG", 2.0]]},
     )
-    (reference / "ignore_list.txt").write_text("oil\n")
+    (reference / "ignore_item.txt").write_text("oil\n")
     paths = BatchPaths(
         str(source), str(reference), str(tmp_path / "out"), "ids.xlsx", "regis.xlsx", "norms.xlsx", "types.xlsx"
     )
@@ -51,7 +53,7 @@ def folders(tmp_path):
 
 def test_run_batch(spark, folders):
     written = run_batch(spark, folders, "r1", buckets=2)
-    read = {name: spark.read.parquet(path) for name, path in written.items()}
+    read = {name: spark.read.parquet(path) for name, path in written.items() if name != "oversized_hours"}  # none: no files
     assert sorted(values(read["status"], "workpack_id", "status")) == [
         ("WP1", "ok"), ("WP2", "ok"), ("WP3", "failed"), ("WP4", "failed"),
     ]
@@ -80,6 +82,73 @@ def test_type_system_and_switches(spark, folders):
     ]
 
 
+def test_package_without_lines_and_missing_ignore_list(spark, folders):
+    write_workbook(f"{folders.input}/WP5.xlsx", {"Export": [HEADER]})
+    written = run_batch(spark, dataclasses.replace(folders, ignore_list="none.txt"), "r4", buckets=2)
+    names = ("status", "totals", "tool_issues", "tool_summary", "new_id_summary", "type_coefficient_totals")
+    read = {name: spark.read.parquet(written[name]) for name in names}
+    status = dict(values(read["status"], "workpack_id", "status"))
+    assert status == {"WP1": "ok", "WP2": "ok", "WP3": "failed", "WP4": "failed", "WP5": "ok", "none.txt": "missing"}
+    totals = {r[0]: r[1:] for r in values(read["totals"], "workpack_id", "base_hours", "total_hours", "total_hhmm")}
+    assert sorted(totals) == ["WP1", "WP2", "WP5"] and totals["WP5"] == (0.0, 0.0, "00:00")
+    assert sorted(values(read["tool_issues"], "part_no")) == [("P1",), ("P3",), ("P4",)]
+    assert values(read["tool_summary"], "workpack_id", "total_issues") == [("WP1", 3)]
+    assert sorted(values(read["new_id_summary"], "workpack_id")) == [("WP1",), ("WP2",)]
+    assert values(read["type_coefficient_totals"].where("workpack_id = 'WP1'"), "base_hours", "additional_hours") == [(21.0, 20.0)]
+
+
+@pytest.mark.parametrize("file_format", ["csv", "json", "parquet"])
+def test_batch_over_exports(spark, folders, tmp_path, file_format):
+    source = tmp_path / file_format
+    source.mkdir()
+    names = ["SEQ", "forecast.event_display", "forecast.est_mh"]
+
+    def export(name, columns, rows):
+        table = pd.DataFrame([[str(v) for v in row] for row in rows], columns=columns)
+        path = source / f"{name}.{file_format}"
+        if file_format == "csv":
+            table.to_csv(path, index=False)
+        elif file_format == "json":
+            table.to_json(path, orient="records", lines=True)
+        else:
+            table.to_parquet(path)
+
+    own = names if file_format == "csv" else [*names, "event"]
+    export("WA", names, [(f"2.{i}", "24-001 (x)", 60) for i in range(5)])
+    export("WB", own, [("2.1", "24-001 (x)", 60, f"e{i % 4}")[: len(own)] for i in range(5)])
+    export("WC", names, [("2.1", "24-001 (x)", "1e400"), ("2.2", "24-001 (x)", "1e25"), ("2.3", "24-001 (x)", 30)])
+    if file_format != "csv":
+        export("WD", names[:2], [("2.1", "24-001 (x)")])
+    paths = dataclasses.replace(folders, input=str(source))
+    written = run_batch(spark, paths, "e1", buckets=2, file_format=file_format)
+    read = {name: spark.read.parquet(written[name]) for name in ("status", "totals", "oversized_hours")}
+    status = {"WA": "ok", "WB": "ok", "WC": "ok"} | ({} if file_format == "csv" else {"WD": "failed"})
+    assert dict(values(read["status"], "workpack_id", "status")) == status
+    # Events decide in WB, sequences elsewhere; numbers too large to be summed are left out and listed.
+    hours = {"WA": 5.0, "WB": 1.0 if file_format == "csv" else 4.0, "WC": 0.5}
+    assert dict(values(read["totals"], "workpack_id", "base_hours")) == hours
+    assert {r[0] for r in values(read["oversized_hours"], "workpack_id")} == {"WC"}
+
+    low = config_of({"rules": [{"prefix": "2", "base": "true", "id_method": "-", "coefficient": 1}]})
+    again = spark.read.parquet(run_batch(spark, paths, "e2", low, 2, file_format)["totals"])
+    assert dict(values(again, "workpack_id", "adjusted_hours")) == hours
+    assert dict(values(read["totals"], "workpack_id", "adjusted_hours"))["WA"] == 11.0
+
+
+def test_settings(spark, tmp_path):
+    path = tmp_path / "settings.json"
+    path.write_text('{"high_hours": 8, "skip_codes": ["abc"], "coefficient_system": "type",\n "enable_tool_control": false}')
+    cfg = read_settings(spark, str(path))
+    assert (cfg.high_hours, cfg.skip_codes, cfg.coefficient_system, cfg.enable_tool_control) == (8, ("abc",), "type", False)
+    assert cfg.rules == CFG.rules
+    for bad in (
+        {"hours": 1}, {"high_hours": "8"}, {"skip_codes": "abc"}, {"enable_tool_control": 1}, {"coefficient_system": "x"},
+        {"rules": [{"prefix": "2", "coefficient": "x"}]}, {"rules": [{"other": 1}]}, {"sample_size": None},
+    ):
+        with pytest.raises(ValueError):
+            config_of(bad)
+
+
 def test_empty_folder(spark, folders, tmp_path):
     empty = tmp_path / "none"
     empty.mkdir()

@@ -96,11 +96,21 @@ def package_sums(kept: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def package_totals(
-    kept: DataFrame, registrations: DataFrame, bonus: DataFrame, cfg: EngineConfig
+    kept: DataFrame,
+    registrations: DataFrame,
+    bonus: DataFrame,
+    cfg: EngineConfig,
+    all_packages: DataFrame | None = None,
 ) -> DataFrame:
-    """Final total = adjusted hours + bonus, the bonus once per package."""
-    sums = with_bonus(with_aircraft_type(package_sums(kept, cfg), registrations), bonus)
-    return with_total(sums)
+    """Final total = adjusted hours + bonus, the bonus once per package.
+
+    ``all_packages`` (workpack_id) adds the packages without any line, with hours of 0.
+    """
+    sums = package_sums(kept, cfg)
+    if all_packages is not None:
+        hours = ["base_hours", "adjusted_hours", "coefficient_effect"]
+        sums = all_packages.select("workpack_id").distinct().join(sums, "workpack_id", "left").fillna(0.0, hours)
+    return with_total(with_bonus(with_aircraft_type(sums, registrations), bonus))
 
 
 def with_total(sums: DataFrame) -> DataFrame:

@@ -83,15 +83,14 @@ def with_type_hours(
     )
 
 
-def hours_per_function(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
-    rows = counted_rows(lines, cfg)
+def hours_per_function(rows: DataFrame) -> DataFrame:
     return rows.groupBy("workpack_id", "func_group").agg(
         F.coalesce(decimal_sum(F.col("base_hours")), as_decimal(F.lit(0.0))).alias("base_hours")
     )
 
 
 def additional_hours(
-    lines: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig
+    counted: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig
 ) -> DataFrame:
     """Adjusted less base hours per package and function.
 
@@ -99,25 +98,29 @@ def additional_hours(
     constant there, so base x coefficient - base is the sum over the lines. Both
     hours stay decimals; results round them once.
     """
-    rows = with_type_coefficient(hours_per_function(lines, cfg), packages, table, cfg)
+    rows = with_type_coefficient(hours_per_function(counted), packages, table, cfg)
     base = F.col("base_hours").cast("double")
     return rows.withColumn("additional_hours", as_decimal(base * F.col("type_coefficient") - base))
 
 
 def type_coefficient_breakdown(
-    lines: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig
+    lines: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig, counted: DataFrame | None = None
 ) -> DataFrame:
-    """Additional hours of named functions, where they are more than 0.01 away from 0."""
-    rows = additional_hours(lines, packages, table, cfg).withColumn("additional_hours", rounded(F.col("additional_hours")))
+    """Additional hours of named functions, where they are more than 0.01 away from 0.
+
+    ``counted``: the rows of ``counted_rows``, where they are at hand.
+    """
+    rows = additional_hours(counted_rows(lines, cfg) if counted is None else counted, packages, table, cfg)
+    rows = rows.withColumn("additional_hours", rounded(F.col("additional_hours")))
     named = rows.where(~is_blank(F.col("func_group")) & (F.abs("additional_hours") > 0.01))
     return named.select("workpack_id", "func_group", "additional_hours")
 
 
 def type_coefficient_totals(
-    lines: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig
+    lines: DataFrame, packages: DataFrame, table: DataFrame, cfg: EngineConfig, counted: DataFrame | None = None
 ) -> DataFrame:
     """Additional hours of each package over all its functions, named or not."""
-    rows = additional_hours(lines, packages, table, cfg)
+    rows = additional_hours(counted_rows(lines, cfg) if counted is None else counted, packages, table, cfg)
     return rows.groupBy("workpack_id").agg(
         rounded(F.sum("base_hours")).alias("base_hours"),
         F.coalesce(rounded(F.sum("additional_hours")), F.lit(0.0)).alias("additional_hours"),

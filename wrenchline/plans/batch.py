@@ -1,7 +1,8 @@
-"""The batch job: a folder of workbooks in, report datasets out."""
+"""The batch job: a folder of workbooks or exports in, report datasets out."""
 
 from __future__ import annotations
 
+import dataclasses
 import logging
 from dataclasses import dataclass
 
@@ -14,6 +15,8 @@ from wrenchline.sources import line_tables, lookups, reports, workbook
 
 log = logging.getLogger(__name__)
 
+FORMATS = ("xlsx", *line_tables.FORMATS)
+
 
 @dataclass(frozen=True)
 class BatchPaths:
@@ -26,7 +29,7 @@ class BatchPaths:
     registrations: str
     bonus_norms: str
     type_coefficients: str | None = None
-    ignore_list: str = "ignore_list.txt"
+    ignore_list: str = "ignore_item.txt"
 
 
 def work_folder(spark: SparkSession, fallback: str) -> str:
@@ -54,29 +57,59 @@ def read_lookups(spark: SparkSession, paths: BatchPaths) -> Lookups:
     )
 
 
+def staged_lookups(spark: SparkSession, paths: BatchPaths, work: str) -> Lookups:
+    """The lookups decoded once; every dataset reads the stored tables."""
+    found = read_lookups(spark, paths)
+    tables = {f.name: getattr(found, f.name) for f in dataclasses.fields(found)}
+    return Lookups(**{name: None if df is None else staged(df, f"{work}/{name}") for name, df in tables.items()})
+
+
 def run_batch(
-    spark: SparkSession, paths: BatchPaths, run_id: str, cfg: EngineConfig = DEFAULT_CONFIG, buckets: int = 16
+    spark: SparkSession,
+    paths: BatchPaths,
+    run_id: str,
+    cfg: EngineConfig = DEFAULT_CONFIG,
+    buckets: int = 16,
+    file_format: str = "xlsx",
 ) -> dict[str, str]:
     """Write all report datasets of a run; returns their folders.
 
-    Workbooks are decoded once into a staged table. A file that cannot be read
-    or lacks a required column appears as ``failed`` in the status dataset, and
-    the other packages go on.
+    Files are read once into a staged table. A file that lacks a required column, or a
+    workbook that cannot be read, appears as ``failed`` in the status dataset and gives
+    nothing to the others; the other packages go on. A csv, json or parquet file that
+    cannot be read ends the run with its name. A package without lines has hours of 0. A
+    missing ignore list is a row of the status dataset, ``missing`` under its own name.
+
+    The staged tables stay below the work folder under the run's name; a run of the same
+    name replaces them, and they can be removed once the run has ended.
     """
+    if file_format not in FORMATS:
+        raise ValueError(f"unknown format {file_format!r}; expected one of {FORMATS}")
     work = f"{work_folder(spark, paths.output + '/_work')}/wrenchline/{run_id}"
-    cells = staged(workbook.read_cells(spark, paths.input), f"{work}/cells")
-    status = line_tables.ingest_status(cells, cfg)
-    written = {"status": reports.write_report(status, paths.output, "status", run_id, buckets)}
-    outcome = batch_result(spark.read.schema(status.schema).parquet(written["status"]))
-    result = {row["status"]: row["packages"] for row in outcome.collect()}
+    if file_format == "xlsx":
+        cells = staged(workbook.read_cells(spark, paths.input), f"{work}/cells")
+        found = line_tables.ingest_status(cells, cfg)
+    else:
+        read = staged(line_tables.read_exports(spark, paths.input, file_format, cfg), f"{work}/exports")
+        found = line_tables.export_status(spark, paths.input, file_format, read, cfg)
+    if lookups.is_missing(spark, f"{paths.reference}/{paths.ignore_list}"):
+        row = (paths.ignore_list, "missing", 0, "no ignore list: nothing is ignored")
+        found = found.unionByName(spark.createDataFrame([row], "workpack_id string, status string, rows bigint, error string"))
+    written = {"status": reports.write_report(found, paths.output, "status", run_id, buckets)}
+    status = spark.read.schema(found.schema).parquet(written["status"])
+    result = {row["status"]: row["packages"] for row in batch_result(status).collect()}
     if not result:
-        log.warning("no workbooks in %s", paths.input)
+        log.warning("no files in %s", paths.input)
     log.info("packages: %s", result)
 
     # Rows that a file gave before it turned out unreadable are no result.
-    failed = spark.read.schema(status.schema).parquet(written["status"]).where("status = 'failed'").select("workpack_id")
-    whole = cells.join(failed, "workpack_id", "left_anti")
-    lines = staged(line_tables.lines_from_cells(whole, cfg), f"{work}/lines")
+    failed = status.where("status = 'failed'").select("workpack_id")
+    if file_format == "xlsx":
+        lines = line_tables.lines_from_cells(cells.join(failed, "workpack_id", "left_anti"), cfg)
+        lines = staged(lines, f"{work}/lines")
+    else:
+        lines = read.join(failed, "workpack_id", "left_anti")
     stage = lambda df, name: staged(df, f"{work}/{name}")
-    datasets = build_reports(lines, read_lookups(spark, paths), cfg, stage)
+    whole = status.where("status = 'ok'").select("workpack_id")
+    datasets = build_reports(lines, staged_lookups(spark, paths, work), cfg, stage, whole)
     return written | reports.write_reports(datasets, paths.output, run_id, buckets)

@@ -76,12 +76,13 @@ def rename_exports(df: DataFrame, cfg: EngineConfig) -> DataFrame:
 def read_exports(
     spark: SparkSession, folder: str, file_format: str, cfg: EngineConfig, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Line table from a folder of csv, json or parquet files with the same columns.
+    """Line table from a folder of csv, json or parquet files.
 
-    ``columns`` are the export's column names; given them, json files are not
-    read an extra time to find out. ``row_no`` needs no shuffle: parquet files
-    number their rows, and in text formats it is the file split's start and the
-    row's place in the task that reads it.
+    Csv files must have the same columns; json and parquet files may differ in the
+    optional ones (see ``with_presence``). ``columns`` are the export's column names;
+    given them, json files are not read an extra time to find out. ``row_no`` needs
+    no shuffle: parquet files number their rows, and in text formats it is the file
+    split's start and the row's place in the task that reads it.
     """
     if file_format not in FORMATS:
         raise ValueError(f"unknown format {file_format!r}; expected one of {FORMATS}")
@@ -91,6 +92,8 @@ def read_exports(
         reader = reader.option("header", True).option("enforceSchema", False)
     elif file_format == "json":
         reader = reader.option("primitivesAsString", True)
+    else:
+        reader = reader.option("mergeSchema", True)
     if columns and file_format != "parquet":
         reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
     df = reader.load(folder)
@@ -105,4 +108,47 @@ def read_exports(
     )
     lines = rename_exports(rows, cfg)
     require_columns(lines, REQUIRED_COLUMNS, folder)
-    return lines
+    return lines if file_format == "csv" else with_presence(lines)
+
+
+def with_presence(lines: DataFrame) -> DataFrame:
+    """``has_event`` and ``has_tool_columns`` of each package, where the table has those columns.
+
+    The files of a folder may differ. A file has events when one of its lines has a
+    value there, and tool columns when a line has a value in any of them. The flags
+    are one row per file, joined back by the size that Spark finds.
+    """
+    found = {}
+    if "event" in lines.columns:
+        found["has_event"] = F.col("event").isNotNull()
+    if all(c in lines.columns for c in TOOL_COLUMNS):
+        found["has_tool_columns"] = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in TOOL_COLUMNS])
+    if not found:
+        return lines
+    flags = lines.groupBy("workpack_id").agg(*[F.bool_or(test).alias(name) for name, test in found.items()])
+    return lines.join(flags, "workpack_id")
+
+
+def export_status(spark: SparkSession, folder: str, file_format: str, lines: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """(workpack_id, status, rows, error) of every export file, those without lines included.
+
+    A json or parquet file lacks a required column when none of its lines has a value there.
+    Files are listed, not read again.
+    """
+    files = workbook.workbook_files(spark, folder, f"*.{file_format}*").select("workpack_id").distinct()
+    counts = lines.groupBy("workpack_id").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"_{c}") for c in REQUIRED_COLUMNS]
+    )
+    absent = [
+        F.when((F.col("rows") > 0) & (F.col(f"_{c}") == 0), F.lit(_export_name(cfg, c)))
+        for c in (() if file_format == "csv" else REQUIRED_COLUMNS)
+    ]
+    missing = F.concat_ws(", ", *absent) if absent else F.lit("")
+    error = F.when(missing != "", F.concat(F.lit("Missing required columns: "), missing))
+    both = files.join(counts, "workpack_id", "left")
+    return both.select(
+        "workpack_id",
+        F.when(error.isNull(), "ok").otherwise("failed").alias("status"),
+        F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"),
+        error.alias("error"),
+    )

@@ -109,16 +109,26 @@ def ignore_items(spark: SparkSession, path: str) -> DataFrame:
 
     Without the file nothing is ignored.
     """
+    if is_missing(spark, path):
+        log.warning("no ignore list at %s", path)
+        return spark.createDataFrame([], "item string")
+    return ignore_items_of(spark.read.text(path))
+
+
+def is_missing(spark: SparkSession, path: str) -> bool:
     try:
-        text = spark.read.text(path)
+        spark.read.text(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
-        log.info("no ignore list at %s", path)
-        return spark.createDataFrame([], "item string")
-    item = strip(F.col("value"))
+        return True
+    return False
+
+
+def ignore_items_of(text: DataFrame) -> DataFrame:
+    """Items of raw lines (``value``)."""
     return (
-        text.select(item.alias("item"))
+        text.select(strip(F.col("value")).alias("item"))
         .where((F.col("item") != "") & ~F.startswith(F.col("item"), F.lit("#")))
         .select(F.lower("item").alias("item"))
         .distinct()
