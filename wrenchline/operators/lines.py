@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,29 +78,32 @@ def _with_values(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
     return rows
 
 
-def kept_lines(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
+#: Adds columns to the rows that keep-first leaves, e.g. by a join that all lines need not go through.
+Enrich = Callable[[DataFrame], DataFrame]
+
+
+def kept_lines(lines: DataFrame, cfg: EngineConfig, enrich: Enrich = lambda rows: rows) -> DataFrame:
     """First line per key where the base gate lets it pass, and the first of all others.
 
     The lines the gate drops are not filtered but reduced to one per package
     (``processed`` is false there), so every package keeps its first line.
     Package headers, empty packages and hour sums then come from one pass and
-    one line shuffle.
+    one line shuffle. Values are worked out for the kept lines only.
     """
-    processed = ids.should_process(cfg, F.col("seq"))
-    rows = _with_values(lines, cfg).withColumn("processed", processed)
+    rows = lines.withColumn("processed", ids.should_process(cfg, F.col("seq")))
     key = F.when(F.col("processed"), dedup_key(lines))
-    return keep_first(rows, ["workpack_id", "processed", key])
+    return _with_values(enrich(keep_first(rows, ["workpack_id", "processed", key])), cfg)
 
 
-def base_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
+def base_rows(lines: DataFrame, cfg: EngineConfig, enrich: Enrich = lambda rows: rows) -> DataFrame:
     """Base gate, then keep-first; the gate is applied where the lines are read."""
-    rows = _with_values(lines.where(ids.should_process(cfg, F.col("seq"))), cfg)
-    return keep_first(rows, ["workpack_id", dedup_key(lines)])
+    rows = lines.where(ids.should_process(cfg, F.col("seq")))
+    return _with_values(enrich(keep_first(rows, ["workpack_id", dedup_key(lines)])), cfg)
 
 
-def mhr_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
+def mhr_rows(lines: DataFrame, cfg: EngineConfig, enrich: Enrich = lambda rows: rows) -> DataFrame:
     """Lines that count for the hour totals."""
-    return sheet_gate(base_rows(lines, cfg), cfg, "mhr")
+    return base_rows(lines, cfg, lambda rows: enrich(sheet_gate(rows, cfg, "mhr")))
 
 
 def high_hour_tasks(mhr: DataFrame, cfg: EngineConfig) -> DataFrame:

@@ -29,7 +29,7 @@ from wrenchline.sources import rules, star_tables as star
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-_MHR = ("seq", "title", "planned_min")
+_MHR = ("seq", "planned_min")
 _HEADER = ("wpno", "start_date", "end_date")
 
 
@@ -42,12 +42,17 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _mhr(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
-    return line_ops.mhr_rows(star.lines(spark, folder, *_MHR, *extra), CFG)
+def _part(spark: SparkSession, folder: str, *columns: str) -> line_ops.Enrich:
+    return lambda rows: star.with_part(rows, spark, folder, *columns)
 
 
-def _kept(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
-    return line_ops.kept_lines(star.lines(spark, folder, *_MHR, *_HEADER, *extra), CFG)
+def _mhr(spark: SparkSession, folder: str) -> DataFrame:
+    return line_ops.mhr_rows(star.lines(spark, folder, *_MHR), CFG, _part(spark, folder, "title"))
+
+
+def _kept(spark: SparkSession, folder: str, *extra: str, part: tuple[str, ...] = ("title",)) -> DataFrame:
+    rows = star.lines(spark, folder, *_MHR, *_HEADER, *extra)
+    return line_ops.kept_lines(rows, CFG, _part(spark, folder, *part))
 
 
 def _registrations(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,7 +336,7 @@ def q36_display(spark, folder):
 @query
 def q37_run_metrics(spark, folder):
     rows = star.lines(spark, folder, *_MHR)
-    return metrics.run_metrics(rows, line_ops.kept_lines(rows, CFG), CFG)
+    return metrics.run_metrics(rows, line_ops.kept_lines(rows, CFG, _part(spark, folder, "title")), CFG)
 
 
 @query
@@ -395,7 +400,7 @@ def q44_plain_coefficient(spark, folder):
 def q45_totals_by_type(spark, folder):
     """Package totals with type coefficients in place of the sequence ones."""
     kept = type_coefficients.with_type_hours(
-        _kept(spark, folder, "func_group"), _packages(spark, folder), _type_table(spark, folder), CFG
+        _kept(spark, folder, part=("title", "func_group")), _packages(spark, folder), _type_table(spark, folder), CFG
     )
     totals = packages.package_totals(kept, _registrations(spark, folder), _bonus(spark, folder), CFG)
     return totals.select("workpack_id", "base_hours", "adjusted_hours", "bonus_hours", "total_hours")

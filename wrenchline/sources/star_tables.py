@@ -93,6 +93,18 @@ def lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     )
 
 
+def with_part(rows: DataFrame, spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Rows of ``lines`` with columns that come from the part table.
+
+    The key of the part is in ``row_no``, so the join can wait until few rows are left.
+    """
+    part = read(spark, folder, "part").select("p_partkey", "p_name", "p_size", "p_type")
+    keys = {k: F.col(f"row_no.{k}") for k in ("l_partkey", "l_linenumber")}
+    joined = rows.withColumns(keys).join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    expressions = _line_columns()
+    return joined.select(*rows.columns, *[expressions[c].alias(c) for c in columns])
+
+
 def row_columns() -> list[Column]:
     """The parts of ``row_no`` as plain columns."""
     return [F.col(f"row_no.{c}").alias(c) for c in ROW_ORDER]
