@@ -153,7 +153,7 @@ def test_hot_package_is_split_in_line_joins(spark, conf):
     assert "SortMergeJoin(skew=true)" in sums._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["q06_seq_coefficient", "q12_totals", "q14_special_table", "q26_sample", "q37_run_metrics"])
+@pytest.mark.parametrize("name", ["q06_seq_coefficient", "q12_totals", "q14_special_table", "q37_run_metrics"])
 def test_part_is_joined_to_the_kept_lines(no_broadcast, name):
     """The join to the part table stands above keep-first in the plan, not below it."""
     text = plan(no_broadcast, name)
