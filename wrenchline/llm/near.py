@@ -25,6 +25,8 @@ SHINGLE = 5
 SIMILARITY = (4, 5)
 BLOCK_ITEMS = 400
 BLOCK_SHINGLES = 1_500_000
+#: Clusters with up to so many items times bytes of shingles are compared pair by pair, and larger pairs too.
+FEW = 40_000
 #: Blocks that one task compares a block with.
 BLOCK_CHUNK = 16
 
@@ -318,10 +320,33 @@ _BLOCK = pa.schema(
 )
 
 
-def _rows(result: pa.Table) -> pa.Table:
-    """Result rows with the columns of a block left empty."""
-    rest = [pa.nulls(result.num_rows, field.type) for field in list(_BLOCK)[3:]]
-    return pa.table([*result.columns, *rest], schema=_BLOCK)
+class _Found:
+    """What the blocks of a batch give: links, edges and packed blocks."""
+
+    def __init__(self):
+        self.links, self.edges, self.blobs = [], [], []
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        result = _result(self.links, self.edges)
+        rest = [pa.nulls(result.num_rows, field.type) for field in list(_BLOCK)[3:]]
+        yield from pa.table([*result.columns, *rest], schema=_BLOCK).to_batches()
+        for blob in self.blobs:
+            yield pa.RecordBatch.from_pylist([dict(zip(_BLOCK.names, blob, strict=True))], _BLOCK)
+
+
+def _few(ids: list[bytes], seen: dict, out: _Found) -> None:
+    """Links and edges of a small cluster, pair by pair."""
+    sets = [set(np.frombuffer(seen[i][1], np.uint64).tolist()) for i in ids]
+    counts, forest = [0] * len(ids), Forest(len(ids))
+    for x, a in enumerate(sets):
+        for y in range(x + 1, len(sets)):
+            common = len(a & sets[y])
+            if common * SIMILARITY[1] >= (len(a) + len(sets[y]) - common) * SIMILARITY[0]:
+                counts[x] += seen[ids[y]][0]
+                counts[y] += seen[ids[x]][0]
+                if forest.join(x, y):
+                    out.edges.append((ids[x], ids[y]))
+    out.links += [(i, n) for i, n in zip(ids, counts, strict=True) if n]
 
 
 def _open(blob: bytes) -> dict:
@@ -335,18 +360,15 @@ def verified(rows: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
     ``n_links`` counts other items by their copies. The edges connect all linked items.
     """
 
-    def own(key, group):
-        seen = {}
-        for i, c, s in zip(*(group.column(n).to_pylist() for n in ("id", "copies", "shingles")), strict=True):
-            seen[i] = (c, np.unique(np.frombuffer(s, np.uint64)))
+    def own(place, ids, copies, sets, out):
+        """Verifies a block within itself; a block of a larger cluster is passed on, packed."""
+        seen = {i: (c, s) for i, c, s in zip(ids, copies, sets, strict=True)}
         ids = sorted(seen)
-        blocks = group.column("n_blocks")[0].as_py()
-        if len(ids) == 2 and blocks == 1:  # most clusters
-            (c1, a), (c2, b) = (seen[i] for i in ids)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            linked = common * SIMILARITY[1] >= (len(a) + len(b) - common) * SIMILARITY[0]
-            return _rows(_result([(ids[0], c2), (ids[1], c1)], [tuple(ids)]) if linked else _result([], []))
-        block = pack(np.array(ids, object), np.array([seen[i][0] for i in ids]), [seen[i][1] for i in ids])
+        size = sum(len(s) for _, s in seen.values())
+        if place[1] == 1 and (len(ids) * size <= FEW or len(ids) == 2 and size <= 100 * FEW):  # most clusters
+            return _few(ids, seen, out)
+        sets = [np.unique(np.frombuffer(seen[i][1], np.uint64)) for i in ids]
+        block = pack(np.array(ids, object), np.array([seen[i][0] for i in ids]), sets)
         linked = similar(block, block)
         np.fill_diagonal(linked, False)
         counts = linked @ block["copies"]
@@ -355,15 +377,37 @@ def verified(rows: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
         for start, y in edges:
             group_of[y] = start
         block["group"] = group_of
-        out = _rows(_result([(i, int(n)) for i, n in zip(ids, counts, strict=True) if n], [(ids[a], ids[b]) for a, b in edges]))
-        if blocks > 1:
-            blob = zlib.compress(pickle.dumps(block, 5), 1)
-            place = [group.column(n)[0].as_py() for n in ("root", "n_blocks", "block")]
-            out = pa.concat_tables([out, pa.Table.from_pylist([dict(zip(_BLOCK.names, [None] * 3 + [blob, *place], strict=True))], _BLOCK)])
-        return out
+        out.links += [(i, int(n)) for i, n in zip(ids, counts, strict=True) if n]
+        out.edges += [(ids[a], ids[b]) for a, b in edges]
+        if place[1] > 1:
+            out.blobs.append([None] * 3 + [zlib.compress(pickle.dumps(block, 5), 1), *place])
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, rows = None, ([], [], [])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = list(zip(*(batch.column(n).to_pylist() for n in ("root", "n_blocks", "block")), strict=True))
+            cells = [batch.column(n).to_pylist() for n in ("id", "copies", "shingles")]
+            cuts = [0, *(i for i in range(1, len(places)) if places[i] != places[i - 1]), len(places)]
+            out = _Found()
+            for first, after in zip(cuts, cuts[1:]):
+                if places[first] != place:
+                    if place:
+                        own(place, *rows, out)
+                    place, rows = places[first], ([], [], [])
+                for kept, column in zip(rows, cells, strict=True):
+                    kept += column[first:after]
+            yield from out.batches()
+        if place:
+            out = _Found()
+            own(place, *rows, out)
+            yield from out.batches()
 
     schema = RESULT + ", blob binary, root binary, n_blocks int, block int"
-    first = stages.save(rows.groupBy("root", "block").applyInArrow(own, schema), "blocks")
+    # Blocks are streamed one after the other: a call for each would cost more than most clusters do.
+    sorted_rows = rows.repartition("root", "block").sortWithinPartitions("root", "block")
+    first = stages.save(sorted_rows.mapInArrow(stream, schema), "blocks")
     blobs = first.where("blob IS NOT NULL").select("root", "n_blocks", "block", "blob")
     chunks = F.ceil(F.col("n_blocks") / BLOCK_CHUNK).cast("int")
     mine = blobs.select("*", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.col("block").alias("at"), F.lit(True).alias("mine"))
