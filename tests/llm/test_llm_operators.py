@@ -163,6 +163,18 @@ def test_shared_passages_are_found_and_clean_texts_left_alone(spark):
     assert substring_dedup.digest(documents(spark), spark).count() == 0
 
 
+def test_paragraph_links_against_all_pairs(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(600):  # 8 of 10 shingles are common: a similarity of 0.8 exactly
+        line = words(rng, 13).split()
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join([*line[1:], words(rng, 1)]))]
+    sets = [set(near.shingle_set(t).tolist()) for _, t in rows]
+    want = {d for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and 5 * len(a & b) >= 4 * len(a | b) for d in (i, j)}
+    found = substring_dedup.repeated(documents(spark, *rows), spark)
+    assert len(want) == 1200 and found.select("doc").distinct().count() >= 0.99 * len(want)
+
+
 # -- chat
 
 
