@@ -175,6 +175,16 @@ def test_paragraph_links_against_all_pairs(spark):
     assert len(want) == 1200 and found.select("doc").distinct().count() >= 0.99 * len(want)
 
 
+def test_passages_that_repeat_a_few_words_are_found(spark):
+    rng = random.Random(13)
+    rows = []
+    for period in range(1, 8):
+        passage = " ".join(words(rng, period).split() * (60 // period))
+        rows += [(10 * period + i, f"{words(rng, 70)} {passage} {words(rng, 50)}") for i in range(2)]
+    found = {r.doc_id: r for r in substring_dedup.digest(documents(spark, *rows), spark).collect()}
+    assert set(found) == {d for d, _ in rows} and all((r.n_removed > 0) == (d % 10 == 1) for d, r in found.items())
+
+
 # -- chat
 
 
