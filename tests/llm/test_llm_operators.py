@@ -266,6 +266,33 @@ def test_contamination_of_odd_rows(spark, limit):
     assert decontamination.digest(documents(spark, *rows), bench.limit(0), spark).where("contaminated").count() == 0
 
 
+def test_edited_items_against_brute_force(spark):
+    rng = random.Random(14)
+    common = words(rng, 6).split()
+    items = {i: [rng.choice(common) if rng.random() < 0.5 else words(rng, 1) for _ in range(13 + 4 * (i % 3))] for i in range(20)}
+    rows = []
+    for i, item in items.items():
+        for edits in range(5):
+            text = list(item)
+            for at in rng.sample(range(len(item)), edits):
+                text[at] = words(rng, 2).replace(" ", "")
+            cut = text[edits % 3 :]
+            rows.append((10 * i + edits, " ".join([*(rng.choice(common) for _ in range(rng.randint(0, 9))), *cut, *words(rng, rng.randint(0, 9)).split()])))
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id bigint, text string")
+    want = {}
+    for doc, text in rows:
+        ws, close = text.split(), set()
+        for item in items.values():
+            for shift in range(-len(item), len(ws)):
+                for first in range(len(item) - 12):
+                    equal = [p + shift for p in range(first, first + 13) if 0 <= p + shift < len(ws) and ws[p + shift] == item[p]]
+                    if len(equal) >= 10:
+                        close |= set(range(equal[0], equal[-1] + 1))
+        want[doc] = len(close)
+    got = {r.doc_id: r.n_near for r in decontamination.digest_with_near(documents(spark, *rows), bench, spark).collect()}
+    assert got == want and sum(n > 0 for n in want.values()) > 50
+
+
 # -- WARC
 
 

@@ -1,13 +1,16 @@
 """Benchmark passages in training documents, by a positional inverted index.
 
 1. Words of the benchmark are counted over the whole corpus.
-2. Each benchmark window names its two rarest words as anchors. The index stores the
-   postings (word, document, position) of anchors and is written out.
+2. Each benchmark window names its rarest words as anchors: two more than the words that a
+   proximity match may change. The index stores the postings (word, document, position) of
+   anchors and is written out.
 3. A posting moved back by its anchor's place in the item is an alignment of item and
-   document. Only alignments that both anchors of some window support can hold it.
+   document. A match holds all anchors in its window, its own and its neighbours', but for
+   the words it may change. Alignments that fewer support than any window needs are left out.
 4. The words of the documents left are laid against the item at these alignments, word
    for word. Runs of equal words as long as a window are exact phrases; windows with
-   most words equal at their places are proximity matches.
+   most words equal at their places are proximity matches, from their first equal word to
+   the last one.
 
 Words are runs of digits, a-z after lower-casing A-Z, and everything beyond ASCII. A
 window is ``window`` consecutive words of an item; an item of fewer words, but not
@@ -77,8 +80,11 @@ def item_words(benchmark: DataFrame) -> DataFrame:
     return words.withColumn("_dc_hash", F.xxhash64("_dc_word"))
 
 
-def anchors(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """The two rarest places of every window: item, place, word hash; rarity over the corpus."""
+def anchors(items: DataFrame, counts: DataFrame, window: int, near: int) -> DataFrame:
+    """The rarest places of every window, of which any ``near`` places hold two: item, place, word hash; rarity over the corpus.
+
+    ``_dc_need`` is the least number of an item's anchors that a match of any of its windows holds.
+    """
     ranked = items.join(counts, "_dc_hash", "left").fillna(0, ["_dc_count"])
     last = F.greatest(F.col("_dc_first") + F.col("_dc_size") - window, F.col("_dc_first"))
     starts = ranked.withColumn("_dc_first", F.min("_dc_pos").over(Window.partitionBy("_dc_item"))).withColumn(
@@ -86,11 +92,15 @@ def anchors(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
         F.explode(F.sequence(F.greatest(F.col("_dc_first"), F.col("_dc_pos") - window + 1), F.least(F.col("_dc_pos"), last))),
     )
     order = Window.partitionBy("_dc_item", "_dc_start").orderBy("_dc_count", "_dc_pos")
-    rare = starts.withColumn("_dc_rank", F.row_number().over(order)).where("_dc_rank <= 2")
-    return rare.select("_dc_item", F.col("_dc_pos").alias("_dc_place"), "_dc_hash", "_dc_size").distinct()
+    rare = starts.withColumn("_dc_rank", F.row_number().over(order)).where(F.col("_dc_rank") <= max(window - near, 0) + 2)
+    chosen = rare.select("_dc_item", "_dc_pos", "_dc_hash", "_dc_size").distinct()
+    held = starts.join(chosen.select("_dc_item", "_dc_pos"), ["_dc_item", "_dc_pos"]).groupBy("_dc_item", "_dc_start", "_dc_size").agg(F.count("*").alias("_dc_held"))
+    changed = F.when(F.col("_dc_size") >= window, max(window - near, 0)).otherwise(0)
+    needs = held.groupBy("_dc_item").agg(F.min(F.col("_dc_held") - changed).alias("_dc_need"))
+    return chosen.join(needs, "_dc_item").withColumnRenamed("_dc_pos", "_dc_place")
 
 
-def alignments(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: int, limit: int) -> tuple[DataFrame, DataFrame]:
+def alignments(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: int, near: int, limit: int) -> tuple[DataFrame, DataFrame]:
     """(item words, candidate alignments): the document position of the item's position 0."""
     items = stages.save(item_words(benchmark), "item-words")
     vocabulary = items.select("_dc_hash").distinct()
@@ -101,7 +111,7 @@ def alignments(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: in
         counts = seen.agg(F.count("*").alias("_dc_count"))
     else:  # all words are counted before they meet the vocabulary, so a frequent word is one row per task
         counts = hashed.groupBy("_dc_hash").agg(F.count("*").alias("_dc_count")).join(vocabulary, "_dc_hash", "left_semi")
-    chosen = stages.save(anchors(items, counts, window), "anchors")
+    chosen = stages.save(anchors(items, counts, window, near), "anchors")
     words = chosen.select("_dc_hash").distinct()
     postings = stages.save(
         hashed.join(_small(words, size, limit), "_dc_hash", "left_semi").select("_dc_hash", "_dc_doc", "_dc_text", "_dc_pos"),
@@ -109,14 +119,16 @@ def alignments(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: in
     )
     moved = postings.join(_small(chosen, chosen.count(), limit), "_dc_hash").withColumn("_dc_shift", F.expr("_dc_pos - _dc_place"))
     supported = moved.groupBy("_dc_doc", "_dc_text", "_dc_item", "_dc_shift").agg(
-        F.min("_dc_place").alias("_dc_low"), F.max("_dc_place").alias("_dc_high"), F.first("_dc_size").alias("_dc_size")
-    )
-    return items, supported.where("_dc_low < _dc_high OR _dc_size = 1").select("_dc_doc", "_dc_text", "_dc_item", "_dc_shift")
+        F.min("_dc_place").alias("_dc_low"), F.max("_dc_place").alias("_dc_high"), F.first("_dc_size").alias("_dc_size"),
+        F.count("*").alias("_dc_held"), F.first("_dc_need").alias("_dc_need"),
+    )
+    enough = supported.where("(_dc_low < _dc_high OR _dc_size = 1) AND _dc_held >= _dc_need")
+    return items, enough.select("_dc_doc", "_dc_text", "_dc_item", "_dc_shift")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: int = WINDOW, near: int = NEAR, limit: int = BROADCAST_WORDS) -> DataFrame:
     """Runs of document words that match an item: document, item, kind ('phrase' or 'near'), first and last position."""
-    items, candidates = alignments(docs, benchmark, stages, window, limit)
+    items, candidates = alignments(docs, benchmark, stages, window, near, limit)
     candidates = stages.save(candidates, "alignments")
     left = candidates.select("_dc_doc", "_dc_text").distinct()
     keyed = docs.select("text", id_key().alias("_dc_doc"), _text_key(F.col("text")).alias("_dc_text"))
@@ -133,6 +145,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: int =
         {
             "_dc_run": F.col("_dc_pos") - F.row_number().over(row),
             "_dc_ahead": F.count("*").over(spread),
+            "_dc_end": F.max("_dc_pos").over(spread),
         }
     )
     keys = ["_dc_doc", "_dc_text", "_dc_item", "item_id", "_dc_shift"]
@@ -144,7 +157,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: int =
     close = marked.where((F.col("_dc_ahead") >= near) & (F.col("_dc_size") >= window))
     columns = ["_dc_doc", "_dc_text", "item_id"]
     return runs.select(*columns, F.lit("phrase").alias("kind"), "first", "last").unionByName(
-        close.select(*columns, F.lit("near").alias("kind"), F.col("_dc_pos").alias("first"), (F.col("_dc_pos") + window - 1).alias("last"))
+        close.select(*columns, F.lit("near").alias("kind"), F.col("_dc_pos").alias("first"), F.col("_dc_end").alias("last"))
     )
 
 
@@ -174,19 +187,25 @@ def judged(docs: DataFrame, benchmark: DataFrame, spark: SparkSession, **options
     )
 
 
-def digest(docs: DataFrame, benchmark: DataFrame, spark: SparkSession) -> DataFrame:
+def digest_with_near(docs: DataFrame, benchmark: DataFrame, spark: SparkSession, **options) -> DataFrame:
     """The contract's columns, and ``n_near``: words in exact or proximity matches."""
     # Texts are not carried to the result, so only ids, keys and counts are joined.
-    return judged(docs.select("doc_id", "text"), benchmark, spark).select(
+    return judged(docs.select("doc_id", "text"), benchmark, spark, **options).select(
         "doc_id",
         F.col("_dc_n_words").alias("n_words"),
         F.col("_dc_n_hit").alias("n_hit"),
         F.size("_dc_items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("_dc_items", ","), 256).alias("items_sha256"),
         F.col("_dc_contaminated").alias("contaminated"),
+        F.col("_dc_n_near").alias("n_near"),
     )
 
 
+def digest(docs: DataFrame, benchmark: DataFrame, spark: SparkSession) -> DataFrame:
+    """The contract's columns, which the query's SQL has too; ``n_near`` is none of them."""
+    return digest_with_near(docs, benchmark, spark).drop("n_near")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, spark: SparkSession) -> DataFrame:
     """The documents that are not contaminated, with their columns as they are."""
     return judged(docs, benchmark, spark).where(~F.col("_dc_contaminated")).select(*docs.columns)
