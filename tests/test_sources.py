@@ -250,3 +250,25 @@ def test_write_reports(spark, tmp_path):
     nested = df.withColumn("row_no", F.struct("id"))
     csv = reports.write_report(nested, str(tmp_path), "text", "r1", file_format="csv")
     assert spark.read.option("header", True).csv(csv).count() == 1000
+
+
+@pytest.mark.parametrize("kind", ["json", "parquet"])
+def test_export_status_keeps_packages_with_empty_required_columns(spark, tmp_path, kind):
+    names = {"seq": "SEQ", "title": "forecast.event_display", "planned_min": "forecast.est_mh"}
+    columns = [f"`{n}` string" for n in names.values()]
+    for package, empty in (("full", ()), ("seqless", (0,)), ("idle [1]", (2,)), ("blank", (0, 1, 2))):
+        rows = [tuple(None if i in empty else v for i, v in enumerate(("2.1", "t", "60"))) for _ in range(2)]
+        frame = spark.createDataFrame(rows, ", ".join(columns)).coalesce(1)
+        frame.write.format(kind).option("ignoreNullFields", False).save(str(tmp_path / "out" / package))
+    spark.createDataFrame([("2.1", "t")], ", ".join(columns[:2])).coalesce(1).write.format(kind).save(str(tmp_path / "out" / "short"))
+    source = tmp_path / "in"
+    source.mkdir()
+    for part in (tmp_path / "out").glob(f"*/part-*.{'json' if kind == 'json' else 'parquet'}"):
+        (source / f"{part.parent.name}.{kind}").write_bytes(part.read_bytes())
+    lines = line_tables.read_exports(spark, str(source), kind, CFG)
+    status = line_tables.export_status(spark, str(source), kind, lines, CFG)
+    assert {r.workpack_id: (r.status, r.rows, r.error) for r in status.collect()} == {
+        **{p: ("ok", 2, None) for p in ("full", "seqless", "idle [1]", "blank")},
+        "short": ("failed", 1, "Missing required columns: forecast.est_mh"),
+    }
+    assert sorted(values(line_ops.with_base_hours(lines), "workpack_id", "base_hours"))[:2] == [("blank", 0.0)] * 2

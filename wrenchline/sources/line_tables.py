@@ -5,6 +5,7 @@ One file is one work package; its name is the ``workpack_id``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -129,21 +130,50 @@ def with_presence(lines: DataFrame) -> DataFrame:
     return lines.join(flags, "workpack_id")
 
 
+def _columns_of_exports(spark: SparkSession, folder: str, file_format: str, packages: list[str], names: list[str]) -> DataFrame:
+    """(workpack_id, present): which of ``names`` the given json or parquet packages have as columns, with values or not.
+
+    Parquet schemas are read from the footers; a json file has a column when one of its lines has the key.
+    """
+    pattern = f"*.{file_format}*"
+    if file_format == "json":
+        lines = spark.read.option("pathGlobFilter", pattern).text(folder)
+        keys = lines.select(workbook.file_stem(F.col("_metadata.file_path")).alias("workpack_id"), F.explode(F.json_object_keys("value")).alias("key"))
+        found = keys.where(F.col("workpack_id").isin(packages) & F.col("key").isin(names))
+        return found.groupBy("workpack_id").agg(F.collect_set("key").alias("present"))
+    files = workbook.workbook_files(spark, folder, pattern).where(F.col("workpack_id").isin(packages)).select("workpack_id", "path")
+    present: dict[str, set[str]] = {}
+    for package, path in files.collect():
+        literal = re.sub(r"([\\\[\]{}*?])", r"\\\1", path)  # no pattern
+        present.setdefault(package, set()).update(set(spark.read.parquet(literal).columns) & set(names))
+    rows = [(package, sorted(columns)) for package, columns in present.items()]
+    return spark.createDataFrame(rows, "workpack_id string, present array<string>")
+
+
 def export_status(spark: SparkSession, folder: str, file_format: str, lines: DataFrame, cfg: EngineConfig) -> DataFrame:
     """(workpack_id, status, rows, error) of every export file, those without lines included.
 
-    A json or parquet file lacks a required column when none of its lines has a value there.
-    Files are listed, not read again.
+    A json or parquet file lacks a required column when its own columns do not have it; a
+    column without values is no fault. Only files without any value in a required column
+    are looked into again.
     """
     files = workbook.workbook_files(spark, folder, f"*.{file_format}*").select("workpack_id").distinct()
     counts = lines.groupBy("workpack_id").agg(
         F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"_{c}") for c in REQUIRED_COLUMNS]
     )
-    absent = [
-        F.when((F.col("rows") > 0) & (F.col(f"_{c}") == 0), F.lit(_export_name(cfg, c)))
-        for c in (() if file_format == "csv" else REQUIRED_COLUMNS)
-    ]
-    missing = F.concat_ws(", ", *absent) if absent else F.lit("")
+    names = {c: _export_name(cfg, c) for c in (() if file_format == "csv" else REQUIRED_COLUMNS)}
+    missing = F.lit("")
+    if names:
+        without = reduce(lambda a, b: a | b, [F.col(f"_{c}") == 0 for c in names])
+        doubtful = [row[0] for row in counts.where(without).select("workpack_id").collect()]
+        if doubtful:
+            present = _columns_of_exports(spark, folder, file_format, doubtful, list(names.values()))
+            counts = counts.join(present, "workpack_id", "left")
+            absent = [
+                F.when((F.col(f"_{c}") == 0) & ~F.coalesce(F.array_contains("present", name), F.lit(False)), F.lit(name))
+                for c, name in names.items()
+            ]
+            missing = F.concat_ws(", ", *absent)
     error = F.when(missing != "", F.concat(F.lit("Missing required columns: "), missing))
     both = files.join(counts, "workpack_id", "left")
     return both.select(
