@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wrenchline.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, pii, quality, substring_dedup, topk, warc
+from wrenchline.llm import (
+    byte_bpe, chat, decontamination, forced_bpe, line_dedup, ngram_join, pii, prefix_trie, quality, substring_dedup, topk, warc,
+    whitening,
+)
 from wrenchline.llm.common import table
 from wrenchline.shipping import ship_package
 
@@ -64,11 +67,29 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.drill(table(spark, sf_dir, "pages"), spark)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return whitening.digest(table(spark, sf_dir, "embeddings"), spark)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return prefix_trie.digest(table(spark, sf_dir, "conversations"), spark)
+
+
+def op13_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ship_package(spark)
+    return forced_bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_byte_bpe, op3_ngram_join, op4_line_dedup, op5_substring_dedup,
         op6_chat_format, op7_topk, op8_quality, op9_decontamination, op10_warc,
+        op11_whitening, op12_prefix_trie, op13_forced_bpe,
     )
 }
 
