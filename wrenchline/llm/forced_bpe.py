@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 
 #: Entries of a cache before its older half is let go, and the longest key that is kept.
 CACHED, CACHED_CHARS = 300_000, 64
-#: Blanks other than a single space between two words.
-OTHER_BLANKS = re.compile(r"  |[^\S ]|^ | $", re.ASCII)
-ODD_BLANKS = re.compile(r"[^\S\x00-\x7f]")
+#: What keeps a text from being cut by plain splitting: blanks but for single spaces and line ends between two words.
+ODD = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c")
+ODD_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -86,12 +86,19 @@ class Recent:
         new, old = self.new, self.old
         found = list(map(new.get, keys))
         if None in found:
-            lacking = {k for k, v in zip(keys, found, strict=True) if v is None}
-            made = {k: old[k] for k in lacking if k in old}
-            lacking = [k for k in lacking if k not in made]
-            made.update(zip(lacking, make(lacking), strict=True))
-            new.update((k, v) for k, v in made.items() if len(k) <= CACHED_CHARS)
-            found = [made[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+            places, i = [], -1
+            for _ in range(found.count(None)):
+                i = found.index(None, i + 1)
+                places.append(i)
+            lacking = {keys[i]: None for i in places}
+            new.update([(k, old[k]) for k in lacking if k in old])
+            lacking = [k for k in lacking if k not in new]
+            new.update(zip(lacking, make(lacking), strict=True))
+            for i in places:
+                found[i] = new[keys[i]]
+            for k in lacking:
+                if len(k) > CACHED_CHARS:
+                    del new[k]
         return found
 
 
@@ -113,7 +120,7 @@ class Codec:
         whole = Tokenizer.from_str(config)
         self.pre_tokens = whole.pre_tokenizer.pre_tokenize_str
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merger = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0))
+        self.merger = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
         self.allowed = allowed_pairs(list(model["vocab"]))
         back = {ord(c): b for b, c in enumerate(byte_characters())}
         self.added = {t["content"]: t["id"] for t in parts["added_tokens"]}
@@ -135,30 +142,36 @@ class Codec:
         return ids
 
     def _section(self, text: str) -> list[bytes]:
-        """A space between two visible characters opens a pre-token; what lies between such spaces is a word."""
-        plain = not OTHER_BLANKS.search(text) and (text.isascii() or not ODD_BLANKS.search(text))
-        first, *rest = text.split(" ") if plain else BETWEEN.split(text)
-        return [*self._encode([first]), *self.words.fill(rest, lambda words: self._encode([" " + w for w in words]))]
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        parts = [[p for p, _ in self.pre_tokens(w)] for w in words]
-        cut, counts = fragments([p for own in parts for p in own], self.allowed)
+        """Ids word by word.
+
+        A space between two visible characters opens a pre-token, and so does a line
+        end; what lies between such places is a word, which keeps its line end.
+        """
+        odd = any(o in text for o in ODD) or text[0] in " \n" or text[-1] in " \n"
+        plain = not odd and (text.isascii() or not ODD_BLANKS.search(text))
+        first, *rest = text.replace("\n", " \n").split(" ") if plain else BETWEEN.split(text)
+        return [*self._encode(first, []), *self.words.fill(rest, lambda words: self._encode("", words))]
+
+    def _encode(self, first: str, words: list[str]) -> list[bytes]:
+        """Ids of what stands before the first space, if anything, and of each word after it."""
+        spelled = [w if w[0] == "\n" else " " + w for w in words]
+        if first:
+            spelled.insert(0, first)
+        if not spelled:
+            return []
+        parts = self.pre_tokens("".join(spelled))
+        cut, counts = fragments([p for p, _ in parts], self.allowed)
         coded = self.pieces.fill(cut, self._merge)
-        out, piece, place = [], 0, 0
-        for own in parts:
-            n = sum(counts[place : place + len(own)])
-            out.append(b"".join(coded[piece : piece + n]))
-            piece, place = piece + n, place + len(own)
-        return out
+        # From characters to pre-tokens to fragments: where each word ends.
+        ends = np.cumsum(np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled)))
+        stops = np.fromiter((place[1] for _, place in parts), dtype=np.int64, count=len(parts))
+        bounds = np.cumsum(counts)[np.searchsorted(stops, ends)].tolist()
+        return [coded[a] if b - a == 1 else b"".join(coded[a:b]) for a, b in zip([0, *bounds], bounds, strict=False)]
 
     def _merge(self, pieces: list[str]) -> list[bytes]:
         """Ids of each fragment, merged by itself."""
-        if not pieces:
-            return []
-        coded = self.merger.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids, owners = np.array(coded.ids, dtype="=u4"), np.array(coded.word_ids, dtype=np.int64)
-        ends = np.searchsorted(owners, np.arange(len(pieces)), side="right").tolist()
-        return [ids[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
+        merge = self.merger.tokenize
+        return [array("I", [token.id for token in merge(p)]).tobytes() for p in pieces]
 
     def decode_bytes(self, ids: list[int] | array) -> bytes:
         return b"".join(map(self.entry.__getitem__, ids))
