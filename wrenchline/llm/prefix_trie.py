@@ -67,6 +67,8 @@ def numbered_turns(conversations: DataFrame, stages: Stages) -> DataFrame:
         # Equal rows may fall into different ranges; which of them comes first makes no difference.
         F.monotonically_increasing_id().alias("row"),
     )
+    # The ranges are sampled first: the texts are read for neither of the two passes.
+    turns = stages.save(turns, "turn_keys")
     order = ["conv_id", F.asc_nulls_first("turn"), "role", "turn_key", "row"]
     ranged = turns.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
 
@@ -327,3 +329,53 @@ COLUMNS = [
 def digest(conversations: DataFrame, spark: SparkSession) -> DataFrame:
     """The nodes without their names."""
     return trie(conversations, spark).select(*[F.col(c).cast(k).alias(c) for c, k in COLUMNS])
+
+
+#: The same in SQL: prefixes as nested digests by window, members by conversation, subtrees by pairs of a prefix and
+#: those before it. The remainder of the checksum goes bit by bit.
+ORACLE = r"""
+WITH RECURSIVE ids AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS id, count(*) AS n FROM conversations WHERE conv_id IS NOT NULL GROUP BY ALL
+), bits AS (
+  SELECT conv_id, id, 0 AS step, CAST(4294967295 AS BIGINT) AS crc FROM ids
+  UNION ALL
+  SELECT conv_id, id, step + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS BIGINT)) ELSE c // 2 END
+  FROM (SELECT conv_id, id, step,
+          CASE WHEN step % 8 = 0 THEN xor(crc, CAST(ascii(substr(id, step // 8 + 1, 1)) AS BIGINT)) ELSE crc END AS c
+        FROM bits WHERE step < 8 * length(id))
+), convs AS (
+  SELECT i.conv_id, i.n, xor(b.crc, CAST(4294967295 AS BIGINT)) % 4 AS h, coalesce(d.n, 0) AS donor_n
+  FROM ids i JOIN bits b ON b.conv_id = i.conv_id AND b.step = 8 * length(b.id)
+  LEFT JOIN ids d ON d.conv_id = i.conv_id - i.conv_id % 20
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), steps AS (
+  SELECT c.conv_id, t.place AS depth, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.place - c.h + least(c.h, c.donor_n), t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h
+), named AS (
+  SELECT conv_id, depth, text,
+    sha256(string_agg(sha256(concat(length(role), ':', role, text)), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS name
+  FROM steps
+  UNION ALL SELECT conv_id, 0, '', 'root' FROM convs
+), placed AS (
+  SELECT *, lag(name) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, max(depth) OVER (PARTITION BY conv_id) AS length FROM named
+), nodes AS (
+  SELECT name, depth, parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * len(regexp_extract_all(any_value(text), '[^\x20\x09-\x0D]+')) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = length), '')) AS ends_sha256
+  FROM placed GROUP BY name, depth, parent
+), children AS (
+  SELECT parent AS name, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), pairs AS (
+  SELECT DISTINCT a.name, b.name AS below FROM placed a JOIN placed b ON a.conv_id = b.conv_id AND a.depth <= b.depth
+), totals AS (
+  SELECT p.name, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves, sum(n.saved) AS saved_tokens
+  FROM pairs p JOIN nodes n ON n.name = p.below LEFT JOIN children c ON c.name = p.below GROUP BY p.name
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+  t.n_leaves, CAST(t.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.name = n.name LEFT JOIN nodes p ON p.name = n.parent LEFT JOIN children c ON c.name = n.name
+"""

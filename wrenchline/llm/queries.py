@@ -99,4 +99,5 @@ ORACLES: dict[str, str] = {
     "op7_topk": topk.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
     "op10_warc": warc.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }

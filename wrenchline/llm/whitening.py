@@ -20,7 +20,7 @@ no part. The dimension is the length that most other vectors have (ties: the
 greater); vectors of another length take no part either. Entries are held at
 +-2^62, where a long ends. Null and repeated ids are rows like others. Where the
 variance along a component vanishes (less than 1e-13 of the largest), ``whitened``
-is null. Tables without vectors give no rows. Columns other than the two that are
+is null. Empty vectors take no part, and tables without vectors give no rows. Columns other than the two that are
 named are not read.
 """
 
@@ -49,20 +49,40 @@ _LIMIT = float(2**62)
 _WIDTHS = (np.int16, np.int32, np.int64)
 
 
-def pack(vector: np.ndarray) -> bytes:
-    """Integers without their shift in the narrowest width that holds them all, after a byte that tells it."""
-    plain = vector - SHIFT
-    low, high = (int(plain.min()), int(plain.max())) if len(plain) else (0, 0)
+def pack(lists: pa.ListArray) -> list[bytes | None]:
+    """The integer vectors without their shift, each in the narrowest width that holds it after a byte that tells which.
+
+    None for a vector with an entry that is null or not finite. No list is null or empty.
+    """
+    starts = lists.offsets.to_numpy()
+    at, lengths = starts[:-1] - starts[0], np.diff(starts)
+    entries = lists.values.to_numpy(zero_copy_only=False)[starts[0] : starts[-1]].astype(np.float64)
+    finite = np.isfinite(entries)  # nulls have become nan
+    plain = integers(np.where(finite, entries, 0)) - SHIFT
+    low, high = np.minimum.reduceat(plain, at), np.maximum.reduceat(plain, at)
+    taken = np.logical_and.reduceat(finite, at)
+    out: list[bytes | None] = [None] * len(lists)
     for i, width in enumerate(_WIDTHS):
-        if np.iinfo(width).min <= low and high <= np.iinfo(width).max:
-            return bytes([i]) + plain.astype(np.dtype(width).newbyteorder("<")).tobytes()
-    raise OverflowError("entries are held at +-2^62")
+        fits = taken & (low >= np.iinfo(width).min) & (high <= np.iinfo(width).max)
+        if fits.any():
+            kind = np.dtype(width).newbyteorder("<")
+            raw, mark = plain.astype(kind).tobytes(), bytes([i])
+            for row in np.flatnonzero(fits).tolist():
+                first = at[row] * kind.itemsize
+                out[row] = mark + raw[first : first + lengths[row] * kind.itemsize]
+        taken &= ~fits
+    return out
 
 
 def unpack(packed: list[bytes]) -> np.ndarray:
     """The integer vectors, one a row."""
+    sizes = {len(p) for p in packed}
+    if len(sizes) == 1 and len({p[0] for p in packed}) == 1:
+        width = np.dtype(_WIDTHS[packed[0][0]]).newbyteorder("<")
+        bytes_ = np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1)
+        return np.ascontiguousarray(bytes_[:, 1:]).view(width).astype(np.int64) + SHIFT
     rows = [np.frombuffer(p, dtype=np.dtype(_WIDTHS[p[0]]).newbyteorder("<"), offset=1) for p in packed]
-    return np.stack(rows).astype(np.int64) + SHIFT
+    return np.stack([r.astype(np.int64) for r in rows]) + SHIFT
 
 
 def integers(entries: np.ndarray) -> np.ndarray:
@@ -72,37 +92,26 @@ def integers(entries: np.ndarray) -> np.ndarray:
     return np.clip(scaled, -_LIMIT, _LIMIT).astype(np.int64) + SHIFT
 
 
-def _finite(values: np.ndarray) -> bool:
-    return bool(np.isfinite(values).all())
-
-
 def packed_rows(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
     """Per row that takes part: id, ``size``, ``packed`` and ``digest`` (128 bits of it)."""
     kind = vectors.schema[id_column].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            keep, sizes, packed, digests = [], [], [], []
-            lists = batch.column(1)
-            for i in range(batch.num_rows):
-                own = lists[i].values
-                if own is None or own.null_count:
-                    continue
-                entries = own.to_numpy(zero_copy_only=False)
-                if not _finite(entries):
-                    continue
-                p = pack(integers(entries))
-                keep.append(i)
-                sizes.append(len(entries))
-                packed.append(p)
-                digests.append(hashlib.blake2b(p, digest_size=16).digest())
+            if not batch.num_rows:
+                continue
+            packed = pack(batch.column(1))
+            keep = [i for i, p in enumerate(packed) if p is not None]
+            rows = pa.array(keep, pa.int64())
+            packed = [packed[i] for i in keep]
+            digests = [hashlib.blake2b(p, digest_size=16).digest() for p in packed]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep, pa.int64())), pa.array(sizes, pa.int32()), pa.array(packed, pa.binary()),
-                 pa.array(digests, pa.binary())],
+                [batch.column(0).take(rows), batch.column(2).take(rows), pa.array(packed, pa.binary()), pa.array(digests, pa.binary())],
                 names=[id_column, "size", "packed", "digest"],
-            )
+            )
 
-    source = vectors.select(id_column, F.col(column).cast("array<double>").alias(column))
+    entries = F.col(column).cast("array<double>").alias("entries")
+    source = vectors.select(F.col(id_column), entries, F.size(column).alias("size")).where("size > 0")
     return source.mapInArrow(run, f"`{id_column}` {kind}, size int, packed binary, digest binary")
 
 
