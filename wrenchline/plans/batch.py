@@ -6,12 +6,13 @@ import dataclasses
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from wrenchline.config import DEFAULT_CONFIG, EngineConfig
 from wrenchline.operators.metrics import batch_result
 from wrenchline.plans.report import Lookups, build_reports
-from wrenchline.sources import line_tables, lookups, reports, workbook
+from wrenchline.sources import exports, line_tables, lookups, reports, workbook
+from wrenchline.storage import staged, work_folder
 
 log = logging.getLogger(__name__)
 
@@ -32,19 +33,8 @@ class BatchPaths:
     ignore_list: str = "ignore_item.txt"
 
 
-def work_folder(spark: SparkSession, fallback: str) -> str:
-    """Shared folder for intermediate tables: the cluster's, or the given one."""
-    return spark.conf.get("spark.checkpoint.dir", None) or fallback
-
-
-def staged(df: DataFrame, path: str) -> DataFrame:
-    """The DataFrame written once and read back, so a lost executor cannot undo it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read_lookups(spark: SparkSession, paths: BatchPaths) -> Lookups:
-    def cells(pattern: str) -> DataFrame:
+    def cells(pattern: str):
         return workbook.read_cells(spark, paths.reference, pattern, first_sheet_only=False)
 
     types = paths.type_coefficients
@@ -74,11 +64,10 @@ def run_batch(
 ) -> dict[str, str]:
     """Write all report datasets of a run; returns their folders.
 
-    Files are read once into a staged table. A file that lacks a required column, or a
-    workbook that cannot be read, appears as ``failed`` in the status dataset and gives
-    nothing to the others; the other packages go on. A csv, json or parquet file that
-    cannot be read ends the run with its name. A package without lines has hours of 0. A
-    missing ignore list is a row of the status dataset, ``missing`` under its own name.
+    Files are read once into a staged table. A file that lacks a required column or
+    cannot be read appears as ``failed`` in the status dataset and gives nothing to the
+    others; the other packages go on. A package without lines has hours of 0. A missing
+    ignore list is a row of the status dataset, ``missing`` under its own name.
 
     The staged tables stay below the work folder under the run's name; a run of the same
     name replaces them, and they can be removed once the run has ended.
@@ -90,8 +79,8 @@ def run_batch(
         cells = staged(workbook.read_cells(spark, paths.input), f"{work}/cells")
         found = line_tables.ingest_status(cells, cfg)
     else:
-        read = staged(line_tables.read_exports(spark, paths.input, file_format, cfg), f"{work}/exports")
-        found = line_tables.export_status(spark, paths.input, file_format, read, cfg)
+        read = exports.read_folder(spark, paths.input, file_format, cfg, lambda df, name: staged(df, f"{work}/{name}"))
+        found = read.status
     if lookups.is_missing(spark, f"{paths.reference}/{paths.ignore_list}"):
         row = (paths.ignore_list, "missing", 0, "no ignore list: nothing is ignored")
         found = found.unionByName(spark.createDataFrame([row], "workpack_id string, status string, rows bigint, error string"))
@@ -102,13 +91,13 @@ def run_batch(
         log.warning("no files in %s", paths.input)
     log.info("packages: %s", result)
 
-    # Rows that a file gave before it turned out unreadable are no result.
-    failed = status.where("status = 'failed'").select("workpack_id")
     if file_format == "xlsx":
+        # Rows that a file gave before it turned out unreadable are no result.
+        failed = status.where("status = 'failed'").select("workpack_id")
         lines = line_tables.lines_from_cells(cells.join(failed, "workpack_id", "left_anti"), cfg)
         lines = staged(lines, f"{work}/lines")
     else:
-        lines = read.join(failed, "workpack_id", "left_anti")
+        lines = read.lines
     stage = lambda df, name: staged(df, f"{work}/{name}")
     whole = status.where("status = 'ok'").select("workpack_id")
     datasets = build_reports(lines, staged_lookups(spark, paths, work), cfg, stage, whole)

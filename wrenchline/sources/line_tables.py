@@ -5,7 +5,6 @@ One file is one work package; its name is the ``workpack_id``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from wrenchline.config import REQUIRED_COLUMNS, TOOL_COLUMNS, EngineConfig
 from wrenchline.operators.quality import require_columns
-from wrenchline.sources import workbook
+from wrenchline.sources import exports, file_columns, workbook
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -77,9 +76,10 @@ def rename_exports(df: DataFrame, cfg: EngineConfig) -> DataFrame:
 def read_exports(
     spark: SparkSession, folder: str, file_format: str, cfg: EngineConfig, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Line table from a folder of csv, json or parquet files.
+    """Line table from a folder of csv, json or parquet files, all of which can be read.
 
-    Csv files must have the same columns; json and parquet files may differ in the
+    ``exports.read_folder`` takes folders whose files differ or are damaged. Here csv
+    files must have the same columns; json and parquet files may differ in the
     optional ones (see ``with_presence``). ``columns`` are the export's column names;
     given them, json files are not read an extra time to find out. ``row_no`` needs
     no shuffle: parquet files number their rows, and in text formats it is the file
@@ -109,76 +109,41 @@ def read_exports(
     )
     lines = rename_exports(rows, cfg)
     require_columns(lines, REQUIRED_COLUMNS, folder)
-    return lines if file_format == "csv" else with_presence(lines)
+    if file_format == "csv":  # the table has the columns of every file
+        return lines
+    return with_presence(lines, file_columns.file_columns(spark, folder, file_format, list(cfg.columns)), cfg)
 
 
-def with_presence(lines: DataFrame) -> DataFrame:
-    """``has_event`` and ``has_tool_columns`` of each package, where the table has those columns.
+def with_presence(lines: DataFrame, files: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """``has_event`` and ``has_tool_columns`` of each line's package, where the table has those columns.
 
-    The files of a folder may differ. A file has events when one of its lines has a
-    value there, and tool columns when a line has a value in any of them. The flags
-    are one row per file, joined back by the size that Spark finds.
+    The files of a folder may differ: a file has events when it has the column, with
+    values or not. The flags are one row per file, joined by the size that Spark finds.
     """
-    found = {}
-    if "event" in lines.columns:
-        found["has_event"] = F.col("event").isNotNull()
-    if all(c in lines.columns for c in TOOL_COLUMNS):
-        found["has_tool_columns"] = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in TOOL_COLUMNS])
+    wanted = {"has_event": ("event",), "has_tool_columns": TOOL_COLUMNS}
+    found = {flag: names for flag, names in wanted.items() if all(n in lines.columns for n in names)}
     if not found:
         return lines
-    flags = lines.groupBy("workpack_id").agg(*[F.bool_or(test).alias(name) for name, test in found.items()])
+    tests = {
+        flag: reduce(lambda a, b: a & b, [file_columns.has_column(_export_name(cfg, n)) for n in names])
+        for flag, names in found.items()
+    }
+    flags = files.groupBy("workpack_id").agg(*[F.bool_or(test).alias(flag) for flag, test in tests.items()])
     return lines.join(flags, "workpack_id")
 
 
-def _columns_of_exports(spark: SparkSession, folder: str, file_format: str, packages: list[str], names: list[str]) -> DataFrame:
-    """(workpack_id, present): which of ``names`` the given json or parquet packages have as columns, with values or not.
-
-    Parquet schemas are read from the footers; a json file has a column when one of its lines has the key.
-    """
-    pattern = f"*.{file_format}*"
-    if file_format == "json":
-        lines = spark.read.option("pathGlobFilter", pattern).text(folder)
-        keys = lines.select(workbook.file_stem(F.col("_metadata.file_path")).alias("workpack_id"), F.explode(F.json_object_keys("value")).alias("key"))
-        found = keys.where(F.col("workpack_id").isin(packages) & F.col("key").isin(names))
-        return found.groupBy("workpack_id").agg(F.collect_set("key").alias("present"))
-    files = workbook.workbook_files(spark, folder, pattern).where(F.col("workpack_id").isin(packages)).select("workpack_id", "path")
-    present: dict[str, set[str]] = {}
-    for package, path in files.collect():
-        literal = re.sub(r"([\\\[\]{}*?])", r"\\\1", path)  # no pattern
-        present.setdefault(package, set()).update(set(spark.read.parquet(literal).columns) & set(names))
-    rows = [(package, sorted(columns)) for package, columns in present.items()]
-    return spark.createDataFrame(rows, "workpack_id string, present array<string>")
-
-
 def export_status(spark: SparkSession, folder: str, file_format: str, lines: DataFrame, cfg: EngineConfig) -> DataFrame:
     """(workpack_id, status, rows, error) of every export file, those without lines included.
 
-    A json or parquet file lacks a required column when its own columns do not have it; a
-    column without values is no fault. Only files without any value in a required column
-    are looked into again.
+    A file lacks a required column when its own columns do not have it; a column
+    without values is no fault.
     """
-    files = workbook.workbook_files(spark, folder, f"*.{file_format}*").select("workpack_id").distinct()
-    counts = lines.groupBy("workpack_id").agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"_{c}") for c in REQUIRED_COLUMNS]
-    )
-    names = {c: _export_name(cfg, c) for c in (() if file_format == "csv" else REQUIRED_COLUMNS)}
-    missing = F.lit("")
-    if names:
-        without = reduce(lambda a, b: a | b, [F.col(f"_{c}") == 0 for c in names])
-        doubtful = [row[0] for row in counts.where(without).select("workpack_id").collect()]
-        if doubtful:
-            present = _columns_of_exports(spark, folder, file_format, doubtful, list(names.values()))
-            counts = counts.join(present, "workpack_id", "left")
-            absent = [
-                F.when((F.col(f"_{c}") == 0) & ~F.coalesce(F.array_contains("present", name), F.lit(False)), F.lit(name))
-                for c, name in names.items()
-            ]
-            missing = F.concat_ws(", ", *absent)
-    error = F.when(missing != "", F.concat(F.lit("Missing required columns: "), missing))
-    both = files.join(counts, "workpack_id", "left")
-    return both.select(
+    files = exports.judged(file_columns.file_columns(spark, folder, file_format, list(cfg.columns)), file_format, cfg)
+    packages = files.groupBy("workpack_id").agg(F.max("error").alias("error"))
+    counts = lines.groupBy("workpack_id").agg(F.count(F.lit(1)).alias("rows"))
+    return packages.join(counts, "workpack_id", "left").select(
         "workpack_id",
-        F.when(error.isNull(), "ok").otherwise("failed").alias("status"),
+        F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status"),
         F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"),
-        error.alias("error"),
+        "error",
     )
