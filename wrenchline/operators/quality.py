@@ -80,6 +80,32 @@ def coefficient_mismatches(rows: DataFrame, tolerance: float = 0.01) -> DataFram
     return rows.groupBy("workpack_id").agg(F.count_if(off > tolerance).alias("bad_rows"))
 
 
+def reconcile(delivered: DataFrame, expected: DataFrame, keys: Sequence[str], value: str, tolerance: float = 0.01) -> DataFrame:
+    """Delivered values beside expected ones, row by row and from both sides.
+
+    ``finding`` is ``missing`` for an expected row that was not delivered, ``unexpected``
+    for a delivered one that nothing asks for, ``different`` beyond the tolerance or
+    where just one value is null, and null where all is well.
+    """
+    sides = {"delivered": delivered, "expected": expected}
+    found = [df.select(*keys, F.col(value).alias(f"{side}_{value}"), F.lit(True).alias(f"_{side}")) for side, df in sides.items()]
+    ours, theirs = F.col(f"delivered_{value}"), F.col(f"expected_{value}")
+    off = ~F.coalesce(F.abs(ours - theirs) <= tolerance, ours.isNull() & theirs.isNull())
+    finding = (
+        F.when(F.col("_delivered").isNull(), "missing").when(F.col("_expected").isNull(), "unexpected").when(off, "different")
+    )
+    return found[0].join(found[1], list(keys), "full").withColumn("finding", finding).drop("_delivered", "_expected")
+
+
+def reconciliation_summary(rows: DataFrame, value: str) -> DataFrame:
+    """Per package: rows of each finding and the largest difference of the others."""
+    difference = F.abs(F.col(f"delivered_{value}") - F.col(f"expected_{value}"))
+    counts = [F.count_if(F.col("finding") == f).alias(f) for f in ("different", "missing", "unexpected")]
+    return rows.groupBy("workpack_id").agg(
+        F.count_if(F.col("finding").isNull()).alias("matching"), *counts, F.coalesce(F.max(difference), F.lit(0.0)).alias("largest")
+    )
+
+
 def duplicate_sequences(lines: DataFrame) -> DataFrame:
     return lines.groupBy("workpack_id", "seq").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 

@@ -24,6 +24,7 @@ from wrenchline.operators import (
     tools,
     type_coefficients,
 )
+from wrenchline.plans.catalog_storage import QUERIES as STORAGE_QUERIES
 from wrenchline.sources import rules, star_tables as star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,7 +40,7 @@ def query(function: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **STORAGE_QUERIES}
 
 
 def _part(spark: SparkSession, folder: str, *columns: str) -> line_ops.Enrich:

@@ -320,4 +320,6 @@ ORACLES = {
 
 
 def all_oracles() -> dict[str, str]:
-    return dict(ORACLES)
+    from wrenchline.plans.oracle_storage import ORACLES as STORAGE_ORACLES
+
+    return {**ORACLES, **STORAGE_ORACLES}

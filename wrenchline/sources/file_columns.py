@@ -101,7 +101,7 @@ def _type_text(kind: pa.DataType) -> str:
     if pa.types.is_timestamp(kind) and kind.unit == "ns":
         return UNREADABLE + str(kind)
     try:
-        return from_arrow_type(kind).simpleString()
+        return from_arrow_type(kind, prefer_timestamp_ntz=True).simpleString()
     except PySparkException:
         return UNREADABLE + str(kind)
 

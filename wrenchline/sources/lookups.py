@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType, DateType, DoubleType, IntegralType, LongType, NumericType, StringType, TimestampNTZType,
+)
 
 from wrenchline.functions.text import strip
 from wrenchline.operators.new_tasks import reference_ids
@@ -90,18 +95,36 @@ def type_coefficients_from_cells(cells: DataFrame) -> DataFrame:
     return rows.select(_order(), *_bound(TYPE_COLUMNS), active.alias("is_active"))
 
 
+def common_type(kinds: Sequence[DataType]) -> DataType:
+    """One type that holds values of all: numbers as bigint or double, dates as timestamps, the rest as text."""
+    distinct = set(kinds)
+    if len(distinct) == 1:
+        return distinct.pop()
+    if all(isinstance(k, NumericType) for k in distinct):
+        return LongType() if all(isinstance(k, IntegralType) for k in distinct) else DoubleType()
+    if all(isinstance(k, (DateType, TimestampNTZType)) for k in distinct):
+        return TimestampNTZType()
+    return StringType()
+
+
 def union_sheets(sheets: dict[str, DataFrame]) -> DataFrame:
-    """Sheets held as DataFrames in one table, columns aligned by name."""
+    """Sheets held as DataFrames in one table, columns aligned by name.
+
+    A sheet without a column has nulls there; a column of several types gets one
+    that holds them all. ``sheet`` and ``sheet_no`` tell where a row comes from.
+    """
+    if not sheets:
+        raise ValueError("no sheets")
+    kinds: dict[str, list[DataType]] = {}
+    for df in sheets.values():
+        for field in df.schema:
+            kinds.setdefault(field.name, []).append(field.dataType)
+    chosen = {name: common_type(found) for name, found in kinds.items()}
     frames = [
-        df.withColumn("sheet", F.lit(name)).withColumn("sheet_no", F.lit(number))
+        df.select(*[F.col(f"`{c}`").cast(chosen[c]).alias(c) for c in df.columns], F.lit(name).alias("sheet"), F.lit(number).alias("sheet_no"))
         for number, (name, df) in enumerate(sheets.items())
     ]
-    if not frames:
-        raise ValueError("no sheets")
-    merged = frames[0]
-    for frame in frames[1:]:
-        merged = merged.unionByName(frame, allowMissingColumns=True)
-    return merged
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def ignore_items(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,6 +34,56 @@ def write_report(
     return path
 
 
+def buckets_of(packages: DataFrame, buckets: int) -> list[int]:
+    """Buckets of the given packages (workpack_id); at most ``buckets`` numbers."""
+    return sorted(r[0] for r in packages.select(package_bucket(buckets)).distinct().collect())
+
+
+def read_packages(spark: SparkSession, path: str, packages: DataFrame, buckets: int, schema: StructType | None = None) -> DataFrame:
+    """Rows of some packages (workpack_id) of a written dataset; other buckets are not read.
+
+    ``buckets`` is the number the dataset was written with.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.parquet(path).where(F.col(BUCKET).isin(buckets_of(packages, buckets)))
+    return rows.join(packages.select("workpack_id").distinct(), "workpack_id", "left_semi")
+
+
+def replace_packages(df: DataFrame, path: str, buckets: int) -> list[int]:
+    """Put the rows of ``df`` in place of all rows of its packages in a dataset that ``write_report`` wrote.
+
+    Only the buckets of these packages are written, by dynamic partition overwrite;
+    the other packages of those buckets are carried over, all other files stay as they
+    are. Returns the buckets. Repeating it gives the same dataset.
+    """
+    spark = df.sparkSession
+    packages = df.select("workpack_id").distinct()
+    touched = buckets_of(packages, buckets)
+    if not touched:
+        return []
+    old = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
+    carried = old.join(packages, "workpack_id", "left_anti")
+    merged = carried.unionByName(df.select("*", package_bucket(buckets))).hint("rebalance", BUCKET)
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET)
+    writer.parquet(path)
+    return touched
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """What a written dataset holds: (package_bucket, files, rows, packages, content), read back from storage.
+
+    ``content`` is a sum of row hashes, which doesn't depend on order or files.
+    """
+    rows = spark.read.parquet(path)
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("decimal(38,0)")
+    return rows.select(BUCKET, "workpack_id", F.col("_metadata.file_path").alias("file"), hashed.alias("hash")).groupBy(BUCKET).agg(
+        F.count_distinct("file").alias("files"),
+        F.count("*").alias("rows"),
+        F.count_distinct("workpack_id").alias("packages"),
+        F.sum("hash").alias("content"),
+    )
+
+
 def write_reports(
     reports: dict[str, DataFrame], folder: str, run_id: str, buckets: int = 16, file_format: str = "parquet"
 ) -> dict[str, str]:

@@ -6,6 +6,8 @@ for are read; the part table is joined only for the columns that come from it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,7 @@ def _line_columns() -> dict[str, Column]:
         .otherwise("N"),
         "total_qty": when(part % 47 == 0, "bad").otherwise((part % 5).cast("string")),
         "alt_qty": when(part % 2 != 0, (part % 3).cast("string")),
+        "percentage": when(part % 3 == 0, col("l_discount")),
         "start_date": col("o_orderdate"),
         "end_date": col("l_shipdate"),
     }
@@ -162,3 +165,31 @@ def ignore_items(spark: SparkSession, folder: str) -> DataFrame:
     names = part.where("p_name LIKE '%anvil'").selectExpr("lower(p_name) AS item")
     numbers = part.where("p_partkey % 70 = 0").selectExpr("concat('std-', p_partkey) AS item")
     return names.unionByName(numbers).distinct()
+
+
+def sites(spark: SparkSession, folder: str) -> DataFrame:
+    """(workpack_id, site): the nation of the customer."""
+    nation = read(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("site"))
+    customer = read(spark, folder, "customer").select(F.col("c_custkey").alias("workpack_id"), "c_nationkey")
+    return customer.join(nation, "c_nationkey", "left").select("workpack_id", "site")
+
+
+def site_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules of single sites: other modes, unchecked lines, other coefficients."""
+    key = F.col("n_nationkey")
+    none = F.lit(None).cast("string")
+    rows = [
+        (1, none, "4", F.lit("keep"), F.lit(1.0) + key / F.lit(100.0)),
+        (2, F.lit("mhr"), "3", F.lit("ignore"), F.lit(None).cast("double")),
+        (3, none, "5", F.lit("true"), F.lit(3.0)),
+        (3, none, "99", F.lit("true"), key + F.lit(0.5)),
+    ]
+    nation = read(spark, folder, "nation")
+    frames = [
+        nation.where(key % 5 == rest).select(
+            F.col("n_name").alias("site"), sheet.alias("sheet"), F.lit(prefix).alias("prefix"), mode.alias("mode"),
+            none.alias("id_method"), coefficient.cast("double").alias("coefficient"),
+        )
+        for rest, sheet, prefix, mode, coefficient in rows
+    ]
+    return reduce(lambda a, b: a.unionByName(b), frames)

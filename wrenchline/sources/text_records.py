@@ -45,9 +45,33 @@ def records(lines: DataFrame) -> DataFrame:
     )
 
 
-def keep_first_records(recs: DataFrame) -> DataFrame:
+def records_of_texts(texts: DataFrame, key: str, text: str, lines_per_record: int = LINES_PER_RECORD) -> DataFrame:
+    """(key, record_no, question, answers, complete) of whole texts held in a column.
+
+    Lines are trimmed. Record n has the lines n * k to n * k + k - 1 of its own text
+    and never runs into the next one: a record cut at the end of its text has fewer
+    answers and isn't ``complete``. A line end that closes the text opens no line; a
+    null or empty text has no record. Texts are cut where they are, without a shuffle.
+    """
+    k = lines_per_record
+    body = F.regexp_replace(F.col(text), "\\r?\\n\\z", "")
+    lines = F.transform(F.split(body, "\\r?\\n"), strip)
+    found = texts.where(F.length(text) > 0).select(F.col(key), lines.alias("_lines"))
+    starts = F.sequence(F.lit(1), F.size("_lines"), F.lit(k))
+    cut = F.transform(starts, lambda i: F.slice("_lines", i, k))
+    rows = found.select(key, F.posexplode(cut).alias("record_no", "_record"))
+    return rows.select(
+        key,
+        F.col("record_no").cast("bigint").alias("record_no"),
+        F.element_at("_record", 1).alias("question"),
+        F.slice("_record", 2, k).alias("answers"),
+        (F.size("_record") == k).alias("complete"),
+    )
+
+
+def keep_first_records(recs: DataFrame, key: str = "file") -> DataFrame:
     """First record of every question; repeats with other answers are dropped too."""
-    return keep_first(recs, ["question"], F.struct("file", "record_no"))
+    return keep_first(recs, ["question"], F.struct(key, "record_no"))
 
 
 def question_level(question):
