@@ -176,3 +176,44 @@ def test_a_package_gives_the_same_in_every_format(spark, tmp_path, lookups):
         assert results[file_format] == results["xlsx"], file_format
     hours = dict(values(spark.read.parquet(written["totals"]), "workpack_id", "base_hours"))
     assert hours == {"empty events": 1.0, "events": 17.6667, "plain": 1.5}
+
+
+def test_only_new_files_are_processed(spark, tmp_path, lookups):
+    from wrenchline.plans.incremental import run_new_packages
+
+    source = tmp_path / "in"
+    source.mkdir()
+    paths = dataclasses.replace(lookups, input=str(source))
+    row = lambda i: [["2.1", "24-009 (x)", str(60 * i)], ["2.2", "EO-3 x", "30"]]
+
+    def run():
+        return run_new_packages(spark, paths, "inc", str(tmp_path / "progress"), buckets=2, file_format="csv", files_per_run=2)
+
+    def totals(pattern):
+        rows = spark.read.parquet(f"{lookups.output}/totals").where(f"run LIKE '{pattern}'")
+        return sorted(values(rows, "workpack_id", "base_hours", "total_hours"))
+
+    for i in range(3):
+        write(source, f"W [{i}]", "csv", NAMES, row(i))
+    first = run()
+    assert first == ["inc-000000", "inc-000001"] and run() == []
+    write(source, "late", "csv", NAMES, row(9))
+    (source / "bad.csv").write_text("a,b\n1,2\n")
+    assert run() == ["inc-000002"]
+    assert [r[0] for r in totals("inc-000002")] == ["late"]
+    status = spark.read.parquet(f"{lookups.output}/status").where("run LIKE 'inc%'")
+    assert sorted(values(status, "workpack_id", "status")) == [("W [0]", "ok"), ("W [1]", "ok"), ("W [2]", "ok"), ("bad", "failed"), ("late", "ok")]
+    run_batch(spark, paths, "full", buckets=2, file_format="csv")
+    assert totals("inc%") == totals("full") and len(totals("full")) == 4
+
+
+def test_run_totals_come_from_the_write_of_the_kept_lines(spark, tmp_path, lookups):
+    source = tmp_path / "in"
+    source.mkdir()
+    write(source, "A", "csv", NAMES, [["2.1", "t", "60"], ["2.1", "t", "90"], ["5.1", "t", "30"], ["", "t", "30"]])
+    write(source, "B", "csv", NAMES, [["4.1", "t", "120"]])
+    written = run_batch(spark, dataclasses.replace(lookups, input=str(source)), "t", buckets=2, file_format="csv")
+    totals = {r.stage: (r.rows, r.hours) for r in spark.read.parquet(written["run_totals"]).collect()}
+    assert totals == {"loaded": (5, 5.5), "base": (3, 3.5), "mhr": (2, 3.0), "excluded_mhr": (1, 0.5), "coefficient": (2, 4.4)}
+    by_package = spark.read.parquet(written["run_metrics"]).groupBy("stage").agg({"rows": "sum", "hours": "sum"})
+    assert {r[0]: (r["sum(rows)"], pytest.approx(r["sum(hours)"])) for r in by_package.collect()} == totals

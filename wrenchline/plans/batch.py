@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from wrenchline.config import DEFAULT_CONFIG, EngineConfig
+from wrenchline.operators import metrics
 from wrenchline.operators.metrics import batch_result
 from wrenchline.plans.report import Lookups, build_reports
 from wrenchline.sources import exports, line_tables, lookups, reports, workbook
@@ -21,9 +22,12 @@ FORMATS = ("xlsx", *line_tables.FORMATS)
 
 @dataclass(frozen=True)
 class BatchPaths:
-    """Folders of a run; reference files as patterns inside ``reference``."""
+    """Folders of a run; reference files as patterns inside ``reference``.
 
-    input: str
+    ``input`` is a folder or a list of files.
+    """
+
+    input: str | list[str]
     reference: str
     output: str
     id_lists: str
@@ -98,7 +102,16 @@ def run_batch(
         lines = staged(lines, f"{work}/lines")
     else:
         lines = read.lines
-    stage = lambda df, name: staged(df, f"{work}/{name}")
+    seen = None
+
+    def stage(df, name):
+        nonlocal seen
+        if name == "kept_lines":  # this write also counts for the run as a whole
+            df, seen = metrics.observe_stages(df, cfg)
+        return staged(df, f"{work}/{name}")
+
     whole = status.where("status = 'ok'").select("workpack_id")
     datasets = build_reports(lines, staged_lookups(spark, paths, work), cfg, stage, whole)
+    written["run_totals"] = f"{paths.output}/run_totals/run={run_id}"
+    metrics.stage_totals(spark, seen).coalesce(1).write.mode("overwrite").parquet(written["run_totals"])
     return written | reports.write_reports(datasets, paths.output, run_id, buckets)

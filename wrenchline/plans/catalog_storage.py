@@ -15,7 +15,7 @@ from wrenchline.config import DEFAULT_CONFIG as CFG
 from wrenchline.config import REQUIRED_COLUMNS
 from wrenchline.functions.hours import decimal_sum, hours_sum, rounded
 from wrenchline.operators import lines as line_ops
-from wrenchline.operators import quality, site_rules, tools
+from wrenchline.operators import metrics, quality, site_rules, tools
 from wrenchline.shipping import ship_package
 from wrenchline.sources import exports, file_columns, lookups, reports, text_records
 from wrenchline.sources import star_tables as star
@@ -46,7 +46,7 @@ def q46_file_columns(spark: SparkSession, folder: str) -> DataFrame:
     full = rows.where(~odd).withColumns({"workpack": F.lit("full"), "planned_min": F.col("planned_min").try_cast("double"), "title": F.lit("t")})
     _write(_exported(plain, "seq", "part_no", "start_date"), path, "parquet")
     _write(_exported(full, "seq", "title", "planned_min"), path, "parquet")
-    files = file_columns.file_columns(spark, path, "parquet", per="folder")
+    files = staged(file_columns.file_columns(spark, path, "parquet", per="folder"), f"{path}-files")
     lacking = F.array_join(file_columns.missing_columns([_NAMES[c] for c in REQUIRED_COLUMNS]), ", ")
     table = file_columns.column_table(files).groupBy("workpack_id", F.col("name").alias("column_name"), F.col("type").alias("column_type"))
     shapes = files.groupBy("workpack_id").agg(F.max(lacking).alias("missing"), F.bool_and(file_columns.has_column(_NAMES["title"])).alias("has_title"))
@@ -191,10 +191,18 @@ def q56_tool_percentages(spark: SparkSession, folder: str) -> DataFrame:
     return issues.select("workpack_id", *star.row_columns(), "part_no", "type", "percentage")
 
 
+def q57_group_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and hours of every stage and package from one reading of the lines."""
+    rows = star.lines(spark, folder, "seq", "planned_min")
+    groups = line_ops.kept_groups(rows, CFG, lambda kept: star.with_part(kept, spark, folder, "title"))
+    return metrics.group_metrics(groups, CFG)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         q46_file_columns, q47_isolated_exports, q48_sink_round_trip, q49_text_records, q50_hours_reconciliation,
         q51_site_rules, q52_site_hours, q53_site_rule_findings, q54_union_sheets, q55_ignore_file, q56_tool_percentages,
+        q57_group_metrics,
     )
 }

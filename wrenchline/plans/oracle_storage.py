@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wrenchline.plans.oracle import _ISSUES, _LINES, _POS, _WP, _sum
+from wrenchline.plans.oracle import ORACLES as ORACLES_OF_LINES
 
 _SPACE = r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -86,4 +87,6 @@ ORACLES = {
         FROM part WHERE p_partkey % 6 >= 3""",
     "q56_tool_percentages": f"""WITH {_ISSUES.replace(_WP, _WP.replace('o_orderdate AS start_date', 'CASE WHEN l_partkey % 3 = 0 THEN l_discount END AS percentage, o_orderdate AS start_date'))}
         SELECT workpack_id, {_POS}, part_no, type, percentage FROM issues""",
+    # What every stage counts is the same, however it is computed.
+    "q57_group_metrics": ORACLES_OF_LINES["q37_run_metrics"],
 }

@@ -56,7 +56,7 @@ def build_reports(
     registrations = packages.registration_table(lookups.registrations)
     bonus_hours = bonus.bonus_table(lookups.bonus_rows)
     # The kept lines hold the first line of every package, so headers need no other scan.
-    kept = stage(line_ops.kept_lines(lines, cfg), "kept_lines")
+    kept = stage(line_ops.kept_groups(lines, cfg), "kept_lines")
     headers = packages.with_aircraft_type(packages.package_headers(kept, cfg), registrations)
     headers = stage(headers, "headers")
 
@@ -65,7 +65,7 @@ def build_reports(
         table = type_coefficients.type_coefficient_table(lookups.type_coefficient_rows)
     if by_type:
         kept = stage(type_coefficients.with_type_hours(kept, headers, table, cfg), "typed_lines")
-    mhr = line_ops.sheet_gate(kept.where("processed").drop("processed"), cfg, "mhr")
+    mhr = line_ops.sheet_gate(kept.where("processed").drop("processed", "group_rows", "group_hours"), cfg, "mhr")
 
     high = line_ops.high_hour_tasks(mhr, cfg).select(
         "workpack_id",
@@ -86,7 +86,7 @@ def build_reports(
         "oversized_hours": quality.oversized_hours(lines),
         "bonus_breakdown": bonus.bonus_breakdown(headers, lookups.bonus_rows),
         "coefficient_summary": coefficients.coefficient_summary(mhr, cfg),
-        "run_metrics": metrics.run_metrics(lines, kept, cfg),
+        "run_metrics": metrics.group_metrics(kept, cfg),
         "sample": sampling.sample_per_package(mhr, identity, cfg.sample_size, cfg.sample_seed),
     }
     if cfg.enable_special_code and "special_code" in lines.columns:

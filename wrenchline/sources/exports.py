@@ -64,7 +64,7 @@ def judged(files: DataFrame, file_format: str, cfg: EngineConfig) -> DataFrame:
     )
 
 
-def _csv_rows(spark: SparkSession, folder: str, good: DataFrame, cfg: EngineConfig, per: str) -> DataFrame:
+def _csv_rows(spark: SparkSession, folder: str | list[str], good: DataFrame, cfg: EngineConfig, per: str) -> DataFrame:
     """Lines parsed by place and mapped to names by the head of their file; repeats of the head are no lines."""
     own = _export_names(cfg)
     place = lambda name: F.nullif(F.array_position(heads.names(), name), F.lit(0)).cast("int").alias(name)
@@ -79,7 +79,7 @@ def _csv_rows(spark: SparkSession, folder: str, good: DataFrame, cfg: EngineConf
     return cells.select("file", "workpack_id", *FLAGS, F.struct("split", "place").alias("row_no"), excess.alias("excess"), *values)
 
 
-def _json_rows(spark: SparkSession, folder: str, good: DataFrame, cfg: EngineConfig, per: str) -> DataFrame:
+def _json_rows(spark: SparkSession, folder: str | list[str], good: DataFrame, cfg: EngineConfig, per: str) -> DataFrame:
     own = _export_names(cfg)
     schema = StructType([StructField(name, StringType()) for name in own.values()])
     lines = heads.text_lines(spark, folder, "json", per).join(good, "file").withColumn("cells", F.from_json("value", schema))
@@ -87,7 +87,7 @@ def _json_rows(spark: SparkSession, folder: str, good: DataFrame, cfg: EngineCon
     return lines.select("file", "workpack_id", *FLAGS, F.struct("split", "place").alias("row_no"), F.lit(False).alias("excess"), *values)
 
 
-def _parquet_rows(spark: SparkSession, folder: str, good: DataFrame, cfg: EngineConfig, per: str) -> DataFrame:
+def _parquet_rows(spark: SparkSession, folder: str | list[str], good: DataFrame, cfg: EngineConfig, per: str) -> DataFrame:
     """Files of one set of types are read with those; a column of several types becomes text.
 
     What is collected are the types of each wanted column and their combinations, not files.
@@ -107,7 +107,7 @@ def _parquet_rows(spark: SparkSession, folder: str, good: DataFrame, cfg: Engine
         fields = [f"`{name}` {chosen.get(name) or types[name][0]}" for name in types]
         # Files of other types are skipped here, as damaged ones are; the rows that remain are counted against the footers.
         source = heads.reader(spark, "parquet", per).option("ignoreCorruptFiles", True)
-        rows = source.schema(", ".join(fields)).parquet(folder) if fields else None
+        rows = source.schema(", ".join(fields)).format("parquet").load(folder) if fields else None
         files = good.where(F.col("variant").eqNullSafe(F.lit(kinds).cast("array<string>")) if mixed else F.lit(True))
         if rows is None:
             return files.select("file", "workpack_id", *FLAGS, F.lit(0).cast("bigint").alias("row_no"), F.lit(False).alias("excess")).where("false")
@@ -130,7 +130,7 @@ _ROWS = {"csv": _csv_rows, "json": _json_rows, "parquet": _parquet_rows}
 
 def read_folder(
     spark: SparkSession,
-    folder: str,
+    folder: str | list[str],
     file_format: str,
     cfg: EngineConfig,
     stage: Stage = lambda df, name: df,

@@ -51,13 +51,13 @@ def reader(spark: SparkSession, file_format: str, per: str = "file"):
     return spark.read.option("pathGlobFilter", glob(file_format)).option("recursiveFileLookup", per == "folder")
 
 
-def listed(spark: SparkSession, folder: str, file_format: str, per: str = "file") -> DataFrame:
+def listed(spark: SparkSession, folder: str | list[str], file_format: str, per: str = "file") -> DataFrame:
     """(file, path) of all files; contents are not read."""
     files = reader(spark, file_format, per).format("binaryFile").load(folder)
     return files.select(F.col("_metadata.file_path").alias("file"), "path")
 
 
-def text_lines(spark: SparkSession, folder: str, file_format: str, per: str = "file") -> DataFrame:
+def text_lines(spark: SparkSession, folder: str | list[str], file_format: str, per: str = "file") -> DataFrame:
     """Lines that aren't blank: file, split, place in the task that reads it, value."""
     lines = reader(spark, file_format, per).text(folder)
     return lines.select(
@@ -135,7 +135,7 @@ def _looked_into(file_format: str):
     return run
 
 
-def _json_columns(spark: SparkSession, folder: str, names: Sequence[str] | None, per: str) -> DataFrame:
+def _json_columns(spark: SparkSession, folder: str | list[str], names: Sequence[str] | None, per: str) -> DataFrame:
     lines = text_lines(spark, folder, "json", per)
     # A line that is no object counts under a null key.
     keys = F.coalesce(F.json_object_keys("value"), F.array(F.lit(None).cast("string")))
@@ -154,7 +154,7 @@ def _json_columns(spark: SparkSession, folder: str, names: Sequence[str] | None,
 
 
 def file_columns(
-    spark: SparkSession, folder: str, file_format: str, names: Sequence[str] | None = None, per: str = "file"
+    spark: SparkSession, folder: str | list[str], file_format: str, names: Sequence[str] | None = None, per: str = "file"
 ) -> DataFrame:
     """(file, workpack_id, columns, head, rows, error) of every file of a folder.
 
