@@ -9,7 +9,7 @@ from wrenchline.config import EngineConfig
 from wrenchline.functions import ids
 from wrenchline.functions.text import is_blank
 from wrenchline.operators.keep_first import keep_first
-from wrenchline.operators.lines import dedup_key, with_task_id
+from wrenchline.operators.lines import Enrich, dedup_key, with_task_id
 
 
 def reference_ids(task_ids: DataFrame, eo_ids: DataFrame) -> DataFrame:
@@ -23,13 +23,14 @@ def reference_ids(task_ids: DataFrame, eo_ids: DataFrame) -> DataFrame:
     return both.where("id is not null").distinct()
 
 
-def new_task_rows(lines: DataFrame, cfg: EngineConfig) -> DataFrame:
+def new_task_rows(lines: DataFrame, cfg: EngineConfig, enrich: Enrich = lambda rows: rows) -> DataFrame:
     """Keep-first over the whole table under the new-task rules.
 
-    Independent of the counted rows; a null sequence passes this gate.
+    Independent of the counted rows; a null sequence passes this gate. ``enrich`` may
+    add the title to the rows that keep-first leaves.
     """
     gated = lines.where(ids.should_process(cfg, F.col("seq"), "newtask"))
-    return keep_first(with_task_id(gated, cfg, "newtask"), ["workpack_id", dedup_key(lines)])
+    return with_task_id(enrich(keep_first(gated, ["workpack_id", dedup_key(lines)])), cfg, "newtask")
 
 
 def missing_ids(rows: DataFrame, reference: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -46,8 +47,10 @@ def missing_ids(rows: DataFrame, reference: DataFrame, cfg: EngineConfig) -> Dat
     return missing.withColumn("source_rank", F.when(F.col("is_eo"), 0).otherwise(1)).drop("kind")
 
 
-def new_task_ids(lines: DataFrame, reference: DataFrame, cfg: EngineConfig) -> DataFrame:
-    return missing_ids(new_task_rows(lines, cfg), reference, cfg)
+def new_task_ids(
+    lines: DataFrame, reference: DataFrame, cfg: EngineConfig, enrich: Enrich = lambda rows: rows
+) -> DataFrame:
+    return missing_ids(new_task_rows(lines, cfg, enrich), reference, cfg)
 
 
 def valid_ids(rows: DataFrame) -> DataFrame:

@@ -82,7 +82,7 @@ def _tool_issues(spark: SparkSession, folder: str) -> DataFrame:
 
 def _new_ids(spark: SparkSession, folder: str) -> DataFrame:
     return new_tasks.new_task_ids(
-        star.lines(spark, folder, "seq", "title"), star.reference(spark, folder), CFG
+        star.lines(spark, folder, "seq"), star.reference(spark, folder), CFG, _part(spark, folder, "title")
     )
 
 

@@ -6,16 +6,18 @@ back by the sources that a job uses.
 
 from __future__ import annotations
 
+import dataclasses
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wrenchline.config import DEFAULT_CONFIG as CFG
-from wrenchline.config import REQUIRED_COLUMNS
+from wrenchline.config import REQUIRED_COLUMNS, TOOL_COLUMNS
 from wrenchline.functions.hours import decimal_sum, hours_sum, rounded
 from wrenchline.operators import lines as line_ops
 from wrenchline.operators import metrics, quality, site_rules, tools
+from wrenchline.plans.report import Lookups, build_reports
 from wrenchline.shipping import ship_package
 from wrenchline.sources import exports, file_columns, lookups, reports, text_records
 from wrenchline.sources import star_tables as star
@@ -198,11 +200,31 @@ def q57_group_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.group_metrics(groups, CFG)
 
 
+def q58_report_datasets(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every dataset that a run builds, with all switches on and with special codes and tools off."""
+    columns = ("seq", "title", "planned_min", "wpno", "start_date", "end_date", "special_code", "func_group", *TOOL_COLUMNS)
+    path = new_folder(spark, "reports")
+    lines = staged(star.lines(spark, folder, *columns), f"{path}/lines")
+    tables = Lookups(
+        registrations=star.registrations(spark, folder),
+        bonus_rows=star.bonus_rows(spark, folder),
+        reference=star.reference(spark, folder),
+        ignore_items=star.ignore_items(spark, folder),
+        type_coefficient_rows=star.type_coefficient_rows(spark, folder),
+    )
+    plain = dataclasses.replace(CFG, enable_special_code=False, enable_tool_control=False)
+    counts = []
+    for switches, cfg in (("on", CFG), ("off", plain)):
+        datasets = build_reports(lines, tables, cfg, lambda df, name, at=f"{path}/{switches}": staged(df, f"{at}/{name}"))
+        counts += [df.select(F.lit(switches).alias("switches"), F.lit(name).alias("dataset")) for name, df in datasets.items()]
+    return reduce(lambda a, b: a.unionByName(b), counts).groupBy("switches", "dataset").agg(F.count("*").alias("rows"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         q46_file_columns, q47_isolated_exports, q48_sink_round_trip, q49_text_records, q50_hours_reconciliation,
         q51_site_rules, q52_site_hours, q53_site_rule_findings, q54_union_sheets, q55_ignore_file, q56_tool_percentages,
-        q57_group_metrics,
+        q57_group_metrics, q58_report_datasets,
     )
 }

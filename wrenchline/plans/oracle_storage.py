@@ -39,6 +39,21 @@ _ONE_FORMAT = """SELECT '{0}' AS format, 'P' || (workpack_id % 8) AS workpack_id
   CASE WHEN workpack_id % 8 <> 5 THEN workpack_id % 8 = 6 END AS has_event
 FROM ln GROUP BY workpack_id % 8"""
 
+#: Datasets of a run and the queries that give the same rows.
+_DATASETS = {
+    "totals": "q12_totals", "high_tasks": "q07_high_hours", "new_task_ids": "q16_new_task_ids", "new_id_summary": "q17_new_id_summary",
+    "bonus_breakdown": "q11_bonus_breakdown", "coefficient_summary": "q20_coefficient_summary", "run_metrics": "q37_run_metrics",
+    "sample": "q26_sample", "type_coefficients": "q23_type_coeff_breakdown", "type_coefficient_totals": "q38_type_coeff_totals",
+}
+_SWITCHED = {
+    "special_codes": "q14_special_table", "tool_issues": "q18_tool_issues", "tool_summary": "q19_tool_summary", "tool_counts": "q39_tool_counts",
+}
+
+
+def _rows_of(switches: str, datasets: dict[str, str]) -> list[str]:
+    return [f"SELECT '{switches}' AS switches, '{d}' AS dataset, count(*) AS \"rows\" FROM ({ORACLES_OF_LINES[q]}) HAVING count(*) > 0" for d, q in datasets.items()]
+
+
 ORACLES = {
     "q46_file_columns": """WITH shapes(shape, odd, missing, has_title, names) AS (
         VALUES ('plain', 1, 'forecast.event_display, forecast.est_mh', false, ['SEQ string', 'prq2.partno string', 'Start_date timestamp_ntz']),
@@ -89,4 +104,5 @@ ORACLES = {
         SELECT workpack_id, {_POS}, part_no, type, percentage FROM issues""",
     # What every stage counts is the same, however it is computed.
     "q57_group_metrics": ORACLES_OF_LINES["q37_run_metrics"],
+    "q58_report_datasets": " UNION ALL ".join([*_rows_of("on", _DATASETS | _SWITCHED), *_rows_of("off", _DATASETS)]),
 }
