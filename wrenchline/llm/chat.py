@@ -41,11 +41,19 @@ _CALL = "tool_call struct<id:string,name:string,arguments:map<string,string>,aft
 _RESULT = "tool_result struct<id:string,content:string>"
 
 
+def last_of_each(arguments: Column) -> Column:
+    """The map with one value a key: of a key that a JSON object repeats, the last value counts."""
+    entries = F.map_entries(arguments)
+    repeated = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: ~repeated(e, i)))
+
+
 def events(conversations: DataFrame) -> DataFrame:
     """conv_id, turn, kind, call_id, name, arguments, content, after.
 
     A text may be a JSON object with ``tool_call`` or ``tool_result``. Else a user's turn is a
-    call of ``reply``, and an assistant's turn the result of the turn before it.
+    call of ``reply``, and an assistant's turn the result of the turn before it. Of an
+    argument that an object repeats the last value counts.
     """
     text = F.coalesce("text", F.lit(""))
     parsed = F.when(F.ltrim(text).startswith("{"), F.from_json(text, f"{_CALL}, {_RESULT}"))
@@ -67,7 +75,7 @@ def events(conversations: DataFrame) -> DataFrame:
         F.when(is_call, F.concat(scope, F.lit("#"), call["id"])).when(is_result, F.concat(scope, F.lit("#"), result["id"]))
         .when(F.col("kind") == "call", own).when(F.col("kind") == "result", before).alias("call_id"),
         F.when(is_call, call["name"]).when(F.col("kind") == "call", F.lit("reply")).alias("name"),
-        F.when(is_call, F.coalesce(call["arguments"], F.create_map().cast("map<string,string>"))).when(F.col("kind") == "call", plain_call).alias("arguments"),
+        F.when(is_call, last_of_each(F.coalesce(call["arguments"], F.create_map().cast("map<string,string>")))).when(F.col("kind") == "call", plain_call).alias("arguments"),
         F.when(is_result, result["content"]).when(F.col("kind") != "call", F.col("body")).alias("content"),
         F.when(is_call, F.transform(F.coalesce(call["after"], none), lambda i: F.concat(scope, F.lit("#"), i))).otherwise(none).alias("after"),
     )

@@ -306,4 +306,6 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with their columns as they are."""
     name = "_quality_score"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
     return with_score(docs, train(docs, labels), name).where(F.col(name) >= THRESHOLD).select(*docs.columns)

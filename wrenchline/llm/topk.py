@@ -16,10 +16,16 @@ gives it a bound: its k-th best score so far. Then it visits only regions, pages
 entries that the stored distances cannot rule out. Scores are integers and
 exact; distances decide only what is skipped, with a margin for rounding.
 
-Rows: vectors that are null, or hold null or non-finite components or components of
-2^24 or more after scaling, and rows without an id take no part. Shorter vectors count as
+Vectors so long that doubles cannot hold their products (a squared length of 2^53 or more
+after scaling) stay out of the tree. What they take part in, as query or as candidate, is
+scored block by block in whole numbers, and both results are ranked together.
+
+Rows: vectors that are null, or hold null or non-finite components, and rows without an id
+take no part. Components are held at +-2^58 after scaling; a score that a long cannot hold
+is null in its place. Shorter vectors count as
 filled up with zeros. Repeated rows each count as candidates; rows with the query's id are
-the query's own. Repeated query rows give their result once.
+the query's own. Repeated query rows give their result once; different vectors of one id are
+ranked together under it.
 """
 
 from __future__ import annotations
@@ -39,17 +45,25 @@ REGIONS = 64
 NODE_ROWS = 4096
 PAGE_ROWS = 64
 QUERY_ROWS = 256
-LARGEST = 2**24
+#: Up to this squared length sums of products are exact in doubles.
+EXACT_SQUARE = float(2**53)
+#: Where components end.
+LARGEST = 2**58
+#: Rows of a block that is scored in whole numbers.
+BLOCK_ROWS = 256
 #: Distances are compared with this share of slack.
 SLACK = 1e-9
 
 
 def scaled(vectors: DataFrame) -> DataFrame:
-    """vec_id, v: the integer vectors that take part."""
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    """vec_id, v: the integer vectors that take part, as doubles; ``long`` where their squared length is 2^53 or more."""
+    times = lambda x: F.least(F.greatest(x.cast("double") * 256, F.lit(-float(LARGEST))), F.lit(float(LARGEST)))
+    v = F.transform("embedding", lambda x: F.floor(times(x)).cast("double"))
     usable = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
-    fine = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double")) * 256 < LARGEST))
-    return vectors.where(usable & F.coalesce(fine, F.lit(False))).select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v"))
+    finite = lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf"))
+    rows = vectors.where(usable & F.coalesce(F.forall("embedding", finite), F.lit(False)))
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v")).withColumn("long", square >= EXACT_SQUARE)
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -246,10 +260,65 @@ def _visit(queries: DataFrame, nodes: DataFrame, pivots: np.ndarray, bound: floa
     return blocks.join(nodes, ["region", "node"]).select("region", "asked", "blob").mapInArrow(search, _HIT)
 
 
+def _blocks(rows: DataFrame, side: str) -> tuple[DataFrame, int]:
+    """Rows packed in blocks of about ``BLOCK_ROWS``; how many blocks there are."""
+    n = -(-rows.count() // BLOCK_ROWS)
+    number = F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(n, 1))).cast("int").alias(f"{side}_block")
+    packed = rows.groupBy(number).agg(F.collect_list(F.struct("vec_id", "v")).alias(side))
+    return packed, n
+
+
+def whole_scores(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """The k best of every pair of blocks for each query, scored in whole numbers: query_id, vec_id, score (decimal).
+
+    Every block of queries meets every block of candidates in a task of its own.
+    """
+    asked, n_asked = _blocks(queries.distinct(), "asked")
+    given, n_given = _blocks(candidates, "given")
+    schema = "query_id bigint, vec_id bigint, score decimal(38,0)"
+    if not n_asked or not n_given:
+        return queries.sparkSession.createDataFrame([], schema)
+    pairs = asked.withColumn("given_block", F.explode(F.sequence(F.lit(0), F.lit(n_given - 1))))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ours, theirs in zip(batch.column("asked").to_pylist(), batch.column("given").to_pylist(), strict=True):
+                rows = [(r["vec_id"], list(map(int, r["v"]))) for r in theirs]
+                found = []
+                for query in ours:
+                    q, own = list(map(int, query["v"])), query["vec_id"]
+                    scores = [(-sum(a * b for a, b in zip(q, v, strict=False)), i) for i, v in rows if i != own]
+                    found += [(own, i, str(-s)) for s, i in sorted(scores)[:k]]
+                yield pa.RecordBatch.from_pydict({n: [f[i] for f in found] for i, n in enumerate(("query_id", "vec_id", "score"))}, _TEXT_HIT)
+
+    met = pairs.join(given, "given_block").repartition("asked_block", "given_block")
+    hits = met.select("asked", "given").mapInArrow(best, "query_id bigint, vec_id bigint, score string")
+    return hits.select("query_id", "vec_id", F.col("score").cast("decimal(38,0)").alias("score"))
+
+
+_TEXT_HIT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.string())])
+
+
+def search(rows: DataFrame, queries: DataFrame, spark: SparkSession, k: int = 5) -> DataFrame:
+    """``top_k`` for vectors of any length; ``rows`` and ``queries`` as ``scaled`` gives them."""
+    short = lambda df: df.where(~F.col("long")).drop("long")
+    found = top_k(short(rows), short(queries), spark, k)
+    stages = Stages(spark)
+    long_rows = stages.save(rows.where("long").drop("long"), "long-vectors")
+    if not long_rows.head(1):
+        return found
+    long_queries = queries.where("long").drop("long")
+    whole = whole_scores(queries.drop("long"), long_rows, k).unionByName(whole_scores(long_queries, short(rows), k))
+    both = stages.save(found.drop("rank").withColumn("score", F.col("score").cast("decimal(38,0)")).unionByName(whole), "all-hits")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    ranked = both.withColumn("rank", rank).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", F.expr("try_cast(score as bigint)").alias("score"))
+
+
 def digest(embeddings: DataFrame, spark: SparkSession, every: int = 50, k: int = 5) -> DataFrame:
     """The stated query set (ids divisible by ``every``) against all rows."""
     rows = scaled(embeddings)
-    return top_k(rows, rows.where(F.col("vec_id") % every == 0), spark, k)
+    return search(rows, rows.where(F.col("vec_id") % every == 0), spark, k)
 
 
 ORACLE = """
