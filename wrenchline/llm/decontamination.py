@@ -74,9 +74,13 @@ def _small(df: DataFrame, rows: int, limit: int) -> DataFrame:
 
 
 def item_words(benchmark: DataFrame) -> DataFrame:
-    """One row per word of each distinct item: item key, id, number of words, position, word and its hash."""
+    """One row per word of each distinct item: item number, id, number of words, position, word and its hash.
+
+    To be stored before it is used twice, as the numbers are given where the items lie.
+    """
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
-    words = _words(items, F.xxhash64("item_id", "text").alias("_dc_item"), F.col("item_id"), n_words(F.col("text")).alias("_dc_size"))
+    items = items.withColumn("_dc_item", F.monotonically_increasing_id())
+    words = _words(items, F.col("_dc_item"), F.col("item_id"), n_words(F.col("text")).alias("_dc_size"))
     return words.withColumn("_dc_hash", F.xxhash64("_dc_word"))
 
 
@@ -117,25 +121,32 @@ def alignments(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: in
         hashed.join(_small(words, size, limit), "_dc_hash", "left_semi").select("_dc_hash", "_dc_doc", "_dc_text", "_dc_pos"),
         "postings",
     )
-    moved = postings.join(_small(chosen, chosen.count(), limit), "_dc_hash").withColumn("_dc_shift", F.expr("_dc_pos - _dc_place"))
+    named = chosen.select("_dc_hash", "_dc_item", "_dc_place")
+    moved = postings.join(_small(named, chosen.count(), limit), "_dc_hash").withColumn("_dc_shift", F.expr("_dc_pos - _dc_place"))
     supported = moved.groupBy("_dc_doc", "_dc_text", "_dc_item", "_dc_shift").agg(
-        F.min("_dc_place").alias("_dc_low"), F.max("_dc_place").alias("_dc_high"), F.first("_dc_size").alias("_dc_size"),
-        F.count("*").alias("_dc_held"), F.first("_dc_need").alias("_dc_need"),
-    )
-    enough = supported.where("(_dc_low < _dc_high OR _dc_size = 1) AND _dc_held >= _dc_need")
-    return items, enough.select("_dc_doc", "_dc_text", "_dc_item", "_dc_shift")
+        F.min("_dc_place").alias("_dc_low"), F.max("_dc_place").alias("_dc_high"), F.count("*").alias("_dc_held")
+    )
+    # What an item needs joins the sums, so that the shuffled rows don't carry it.
+    needs = chosen.groupBy("_dc_item").agg(F.max("_dc_size").alias("_dc_size"), F.max("_dc_need").alias("_dc_need"))
+    enough = supported.join(_small(needs, size, limit), "_dc_item").where("(_dc_low < _dc_high OR _dc_size = 1) AND _dc_held >= _dc_need")
+    found = stages.save(enough.select("_dc_doc", "_dc_text", "_dc_item", "_dc_shift"), "alignments")
+    stages.drop(postings)
+    return items, found
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, stages: Stages, window: int = WINDOW, near: int = NEAR, limit: int = BROADCAST_WORDS) -> DataFrame:
     """Runs of document words that match an item: document, item, kind ('phrase' or 'near'), first and last position."""
     items, candidates = alignments(docs, benchmark, stages, window, near, limit)
-    candidates = stages.save(candidates, "alignments")
-    left = candidates.select("_dc_doc", "_dc_text").distinct()
-    keyed = docs.select("text", id_key().alias("_dc_doc"), _text_key(F.col("text")).alias("_dc_text"))
-    suspects = keyed.join(left, ["_dc_doc", "_dc_text"], "left_semi")
-    found = _words(suspects, F.col("_dc_doc"), F.col("_dc_text")).select("_dc_doc", "_dc_text", "_dc_pos", "_dc_word")
     places = items.select("_dc_item", "item_id", "_dc_size", F.col("_dc_pos").alias("_dc_place"), "_dc_word")
     wanted = candidates.join(places, "_dc_item").withColumn("_dc_pos", F.expr("_dc_shift + _dc_place"))
+    # The places of a document that some alignment asks for: no more than it has words, but for those off its ends.
+    spots = wanted.groupBy("_dc_doc", "_dc_text").agg(F.collect_set("_dc_pos").alias("_dc_spots"))
+    keyed = docs.select("text", id_key().alias("_dc_doc"), _text_key(F.col("text")).alias("_dc_text"))
+    suspects = keyed.join(spots, ["_dc_doc", "_dc_text"])
+    at = lambda parts: F.transform("_dc_spots", lambda p: F.struct(p.alias("_dc_pos"), F.get(parts, p).alias("_dc_word")))
+    # The text is cut once: the outer array holds its words alone.
+    cut = F.explode(F.flatten(F.transform(F.array(_parts(F.col("text"))), at)))
+    found = suspects.select("_dc_doc", "_dc_text", cut.alias("_dc_at")).select("_dc_doc", "_dc_text", "_dc_at.*").where("_dc_word <> ''")
     equal = wanted.join(found, ["_dc_doc", "_dc_text", "_dc_pos", "_dc_word"], "left_semi")
     # An item is at one place of a document at a time, so a group is at most as long as the item.
     row = Window.partitionBy("_dc_doc", "_dc_text", "_dc_item", "_dc_shift").orderBy("_dc_pos")
