@@ -59,3 +59,16 @@ def test_quality_keeps_a_column_of_its_own_name(spark):
     kept = quality.accepted(docs, labels)
     assert kept.columns == docs.columns
     assert {(r[2], r[3]) for r in kept.collect()} == {("mine", 3)} and kept.count() >= 20
+
+
+def test_a_filter_of_bits_loses_no_wanted_row(spark, monkeypatch):
+    from wrenchline.llm import common
+
+    for words, most in ((1 << 20, 120), (2, 5000)):
+        monkeypatch.setattr(common, "FILTER_WORDS", words)
+        rows = spark.range(5000).select((F.col("id") * 7919 - 10**6).alias("a"), (F.col("id") % 11).alias("b"), F.lit("x").alias("t.x"))
+        wanted = rows.where("a % 50 = 0")
+        found = common.maybe_in(rows, wanted.unionByName(wanted), ["a", "b"])
+        assert found.columns == rows.columns and found.count() <= most
+        assert found.join(wanted, ["a", "b"], "left_semi").count() == wanted.count() == 100
+    assert common.maybe_in(rows, wanted.limit(0), ["a"]).count() == 0

@@ -32,6 +32,27 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
 
 
+#: Words of 64 bits in the table of ``maybe_in``; it never has more rows than that.
+FILTER_WORDS = 1 << 20
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys may be among the wanted ones; no wanted row is lost, others pass now and then.
+
+    Each wanted key sets one bit of a table of at most ``FILTER_WORDS`` words, which is
+    small enough to broadcast whatever the tables' sizes. It spares a join the shuffle
+    of rows that cannot match; the join itself must still follow. With very many wanted
+    keys all rows pass.
+    """
+    hashed = F.xxhash64(*keys)
+    word = F.pmod(hashed, F.lit(FILTER_WORDS)).cast("int").alias("_maybe_word")
+    bit = F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(63)).cast("int").alias("_maybe_bit")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), "_maybe_bit")
+    table_ = wanted.select(word, bit).groupBy("_maybe_word").agg(F.bit_or(one).alias("_maybe_bits"))
+    found = rows.select("*", word, bit).join(F.broadcast(table_), "_maybe_word")
+    return found.where(F.getbit("_maybe_bits", F.col("_maybe_bit")) == 1).select(*[f"`{c}`" for c in rows.columns])
+
+
 class Stages:
     """Intermediate tables as Parquet in the shared folder.
 

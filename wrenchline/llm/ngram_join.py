@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wrenchline.llm import near
-from wrenchline.llm.common import NO_ID, Stages, id_key
+from wrenchline.llm.common import NO_ID, Stages, id_key, maybe_in
 
 TREES = 24
 DEPTH = 8
@@ -109,7 +109,9 @@ def join(docs: DataFrame, spark: SparkSession) -> DataFrame:
     roots = near.components(proposed, stages)
     places = near.blocked(classes, roots).join(classes.select("id", "copies", "one"), "id")
     wanted = places.select("root", "n_blocks", "block", "id", "copies", F.col("one.doc").alias("doc"), F.col("one.text_key").alias("text_key"))
-    texts = keyed.select("doc", "text_key", "text").join(wanted, ["doc", "text_key"])
+    # Few documents have a candidate; the texts of the others stay where they are.
+    wanted = stages.save(wanted, "wanted")
+    texts = maybe_in(keyed.select("doc", "text_key", "text"), wanted, ["doc", "text_key"]).join(wanted, ["doc", "text_key"])
     rows = texts.select("root", "n_blocks", "block", "id", "copies", "text").mapInArrow(
         _shingles, "root binary, n_blocks int, block int, id binary, copies bigint, shingles binary"
     )
