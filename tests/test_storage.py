@@ -113,6 +113,8 @@ def test_reconciliation_finds_planted_differences(spark):
     assert found == {
         ("P", 1): None, ("P", 2): "different", ("P", 3): "missing", ("P", 4): None, ("P", 5): "different", ("P", 9): "unexpected", ("Q", 1): "missing",
     }
+    twice = quality.reconcile(delivered.unionByName(delivered), expected, ["workpack_id", "row_no"], "hours")
+    assert twice.where("finding = 'unexpected'").count() == 6 and twice.where("row_no = 1 AND workpack_id = 'P'").count() == 2
     summary = {r.workpack_id: tuple(r)[1:] for r in quality.reconciliation_summary(rows, "hours").collect()}
     assert summary["P"][:4] == (2, 2, 1, 1) and summary["P"][4] == pytest.approx(0.02) and summary["Q"] == (0, 0, 1, 0, 0.0)
 

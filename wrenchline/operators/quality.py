@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wrenchline.config import EngineConfig
@@ -85,16 +85,22 @@ def reconcile(delivered: DataFrame, expected: DataFrame, keys: Sequence[str], va
 
     ``finding`` is ``missing`` for an expected row that was not delivered, ``unexpected``
     for a delivered one that nothing asks for, ``different`` beyond the tolerance or
-    where just one value is null, and null where all is well.
+    where just one value is null, and null where all is well. Rows that repeat a key
+    are paired in the order of their values.
     """
+    repeat = F.row_number().over(Window.partitionBy(*keys).orderBy(value)).alias("_repeat")
     sides = {"delivered": delivered, "expected": expected}
-    found = [df.select(*keys, F.col(value).alias(f"{side}_{value}"), F.lit(True).alias(f"_{side}")) for side, df in sides.items()]
+    found = [
+        df.select(*keys, repeat, F.col(value).alias(f"{side}_{value}"), F.lit(True).alias(f"_{side}"))
+        for side, df in sides.items()
+    ]
     ours, theirs = F.col(f"delivered_{value}"), F.col(f"expected_{value}")
     off = ~F.coalesce(F.abs(ours - theirs) <= tolerance, ours.isNull() & theirs.isNull())
     finding = (
         F.when(F.col("_delivered").isNull(), "missing").when(F.col("_expected").isNull(), "unexpected").when(off, "different")
     )
-    return found[0].join(found[1], list(keys), "full").withColumn("finding", finding).drop("_delivered", "_expected")
+    joined = found[0].join(found[1], [*keys, "_repeat"], "full")
+    return joined.withColumn("finding", finding).drop("_delivered", "_expected", "_repeat")
 
 
 def reconciliation_summary(rows: DataFrame, value: str) -> DataFrame:
