@@ -124,34 +124,6 @@ def linked_labels(labels: DataFrame, prefix_bytes: int, stages: Stages) -> DataF
     return inner.unionByName(across)
 
 
-def bucket_members(labels: DataFrame, stages: Stages) -> DataFrame:
-    """(root, id) for every label that several items share; ``root`` is the label.
-
-    ``labels`` as for ``linked_labels``. Each task streams its sorted stretch and passes on
-    labels with two ids; ends of a batch are passed on too, as their label may go on
-    elsewhere, and labels that stay alone are left out when they are counted.
-    """
-
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, ids = _fixed(batch.column(0)), _fixed(batch.column(1))
-            new_key, new_id = np.ones((2, len(keys)), bool)
-            new_key[1:] = (keys[1:] != keys[:-1]).any(1)
-            new_id[1:] = new_key[1:] | (ids[1:] != ids[:-1]).any(1)
-            group = np.cumsum(new_key) - 1
-            several = np.bincount(group, new_id) > 1
-            several[[0, -1]] = True
-            keep = pa.array(np.flatnonzero(new_id & several[group]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["root", "id"])
-
-    ordered = labels.select("label", "id").repartitionByRange("label", "id").sortWithinPartitions("label", "id")
-    found = stages.save(ordered.mapInArrow(stream, "root binary, id binary"), "bucket-rows").distinct()
-    shared = found.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    return found.join(shared, "root", "left_semi")
-
-
 def binaries(matrix: np.ndarray) -> pa.Array:
     """Rows of bytes as a column of binaries."""
     data = np.ascontiguousarray(matrix)
