@@ -7,8 +7,10 @@ document. A document's score is the mean of its lines' forward-backward marginal
 of "good", weighted by line length.
 
 The fit uses at most ``sample_docs`` labelled documents (default 4,000), the first
-by a hash of the id; rows whose crc32(doc_id) mod 5 is 0 never enter. It runs in one
-task on that bounded sample. Scoring reads nothing of a document but its text.
+by a hash of the id; rows whose crc32(doc_id) mod 5 is 0 never enter. Their lines are cut
+into chains of at most ``CHAIN_LINES``, and at most ``SAMPLE_CHAINS`` chains enter, one of each
+document before a second of any. The fit runs in one task on that bounded sample, whatever
+the length of the documents. Scoring reads nothing of a document but its text.
 
 Rows: a null text is an empty one; an empty text is one empty line, and gets a
 score as any other. Repeated rows each get a score. Labels that are null or
@@ -25,8 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SAMPLE_DOCS = 4000
+#: Bounds of the fit, in lines a chain and chains in all.
+CHAIN_LINES = 128
+SAMPLE_CHAINS = 6000
 THRESHOLD = 0.3
 #: Own statistics of a line: the shares of its bytes by kind (each ASCII sign for itself, lower
 #: case, upper case, digits, all others), and four word statistics.
@@ -121,13 +127,26 @@ def _neighbours(own: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(lines x FEATURES of all texts, number of lines of each)."""
     own, counts, _ = _lines(texts)
+    return _described(own, *_neighbours(own, counts)), counts
+
+
+def chains(text: str | None, size: int = CHAIN_LINES) -> Iterator[np.ndarray]:
+    """The features of a text's lines in stretches of at most ``size``, with the neighbours that they have in the text."""
+    own, counts, _ = _lines([text])
     first, last = _neighbours(own, counts)
+    for start in range(0, len(own), size):
+        low, high = max(start - 1, 0), min(start + size + 1, len(own))
+        yield _described(own[low:high], first[low:high], last[low:high])[start - low :][:size]
+
+
+def _described(own: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Features of successive lines: each line's own and its neighbours' statistics."""
     out = np.zeros((len(own), FEATURES), np.float32)
     out[:, :WIDTH] = own
     out[1:, WIDTH : 2 * WIDTH] = own[:-1] * ~first[1:, None]
     out[:-1, 2 * WIDTH : 3 * WIDTH] = own[1:] * ~last[:-1, None]
     out[:, -3], out[:, -2], out[:, -1] = first, last, 1
-    return out, counts
+    return out
 
 
 @dataclass
@@ -193,19 +212,26 @@ def _forward_backward(scores, lengths, transition):
     return alpha, beta, np.logaddexp(last[:, 0], last[:, 1])
 
 
-def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 160, rate: float = 0.08, decay: float = 2e-4) -> Field:
-    """Gradient ascent (Adam) on the mean conditional log-likelihood per document, with L2 decay."""
+def fit(
+    documents: list[tuple[np.ndarray, int]], rounds: int = 160, rate: float = 0.08, decay: float = 2e-4, shares: list[float] | None = None
+) -> Field:
+    """Gradient ascent (Adam) on the mean conditional log-likelihood per document, with L2 decay.
+
+    A document may come as several chains, each with its share of the document's weight.
+    """
     field = Field(np.zeros(FEATURES), np.zeros((2, 2)))
     if len({label for _, label in documents}) < 2:
         return field
-    documents = sorted(documents, key=lambda d: -len(d[0]))
+    by_length = sorted(range(len(documents)), key=lambda i: -len(documents[i][0]))
+    share = np.ones(len(documents)) if shares is None else np.array(shares, float)[by_length]
+    documents = [documents[i] for i in by_length]
     lengths = np.array([len(x) for x, _ in documents])
     labels = np.array([y for _, y in documents], float)
     rows = np.concatenate([x for x, _ in documents])
     owner = np.repeat(np.arange(len(documents)), lengths)
     step = np.concatenate([np.arange(k) for k in lengths])
     # Every document weighs the same, however many lines it has.
-    weight = 1 / len(documents)
+    weight = share / share.sum()
     state = np.zeros((2, FEATURES + 4))
     theta = np.zeros(FEATURES + 4)
     live = [(lengths > t).sum() for t in range(lengths[0])]
@@ -216,7 +242,7 @@ def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 160, rate: float
         alpha, beta, total = _forward_backward(scores, lengths, field.transition)
         good = np.exp(alpha[..., 1] + beta[..., 1] - total[:, None])[owner, step]
         gradient = np.zeros_like(theta)
-        gradient[:FEATURES] = ((labels[owner] - good) / np.sqrt(lengths)[owner] * weight).astype(np.float32) @ rows
+        gradient[:FEATURES] = ((labels[owner] - good) / np.sqrt(lengths)[owner] * weight[owner]).astype(np.float32) @ rows
         pairs = np.zeros((2, 2))
         for t in range(1, lengths[0]):
             k = live[t]
@@ -226,7 +252,7 @@ def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 160, rate: float
                         alpha[:k, t - 1, a] + field.transition[a, b] + b * scores[:k, t] + beta[:k, t, b] - total[:k]
                     )
                     truth = (labels[:k] == a) * (a == b)
-                    pairs[a, b] += ((truth - expected) / lengths[:k]).sum() * weight
+                    pairs[a, b] += ((truth - expected) / lengths[:k]) @ weight[:k]
         gradient[FEATURES:] = pairs.ravel()
         gradient -= decay * theta
         state[0] = 0.9 * state[0] + 0.1 * gradient
@@ -256,24 +282,43 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPL
     return one.join(usable, "doc_id").select("doc_id", "text", "label")
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
-    """Features are made where the texts are; one task fits; the weights come back."""
+def training_chains(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chains: int = SAMPLE_CHAINS) -> DataFrame:
+    """At most ``sample_chains`` rows (doc_id, place, label, features), made where the texts are.
+
+    The chains of a document are in the order of a hash, and the first of every document
+    comes before the second of any; a document whose chains all fit is there whole.
+    """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [features([t])[0].astype(np.float16).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(packed, pa.binary())], names=["doc_id", "label", "features"]
-            )
+            for doc, text, label in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label")), strict=True):
+                for number, x in enumerate(chains(text)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([doc], pa.int64()), pa.array([number], pa.int64()), pa.array([label], pa.int32()), pa.array([x.astype(np.float16).tobytes()], pa.binary())],
+                        names=["doc_id", "number", "label", "features"],
+                    )
+
+    cut = training_sample(docs, labels, sample_docs).mapInArrow(describe, "doc_id bigint, number bigint, label int, features binary")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("doc_id", "number"), "number"))
+    ranked = cut.withColumn("place", place).where(F.col("place") <= sample_chains)
+    return ranked.orderBy("place", F.xxhash64("doc_id"), "doc_id").limit(sample_chains).select("doc_id", "place", "label", "features")
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chains: int = SAMPLE_CHAINS) -> Field:
+    """Features are made where the texts are; one task fits; the weights come back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r["doc_id"], r["features"], r["label"]) for b in batches for r in b.to_pylist())
-        field = fit([(np.frombuffer(x, np.float16).reshape(-1, FEATURES).astype(np.float32), y) for _, x, y in rows])
+        rows = sorted((r["doc_id"], r["place"], r["features"], r["label"]) for b in batches for r in b.to_pylist())
+        found = [np.frombuffer(x, np.float16).reshape(-1, FEATURES).astype(np.float32) for _, _, x, _ in rows]
+        _, doc = np.unique([r[0] for r in rows], return_inverse=True) if rows else ([], np.zeros(0, int))
+        sizes = np.array([len(x) for x in found], float)
+        shares = sizes / np.bincount(doc, sizes)[doc] if rows else sizes
+        field = fit(list(zip(found, [r[3] for r in rows], strict=True)), shares=shares)
         yield pa.RecordBatch.from_arrays(
             [pa.array([field.emission.tolist()]), pa.array([field.transition.ravel().tolist()])], names=["emission", "transition"]
         )
 
-    sample = training_sample(docs, labels, sample_docs).mapInArrow(describe, "doc_id bigint, label int, features binary")
+    sample = training_chains(docs, labels, sample_docs, sample_chains)
     fitted = sample.repartition(1).mapInArrow(run, "emission array<double>, transition array<double>").collect()
     row = fitted[0]
     return Field(np.array(row["emission"]), np.array(row["transition"]).reshape(2, 2))
