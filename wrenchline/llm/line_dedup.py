@@ -1,14 +1,16 @@
 """Lines that many documents share are kept in one of them only.
 
-Line hashes are range-partitioned with the document as a further key, so that a
-line of a third of all documents spreads over tasks, and sorted by document and
-position. Each task streams its stretch: one count per (line, document), then one
-per line, before anything is exchanged again. What comes back to the documents is
-their keep bitmap, compressed as runs of kept lines, and no text.
+Texts are cut once into a staged table of line hashes. It is range-partitioned with
+the document as a further key, so that a line of a third of all documents spreads
+over tasks, and sorted by document and position. Each task streams its stretch, keeps
+the first occurrence of a line in each document, and counts these per line before
+anything is exchanged again. What comes back to the documents is their keep bitmap,
+compressed as runs of kept lines, and no text.
 
 Rows: a null text is an empty one, and an empty text is one empty line. Rows that
 repeat a doc_id are one document for the count and all follow its decisions; rows
-without a doc_id are one document, smaller than all others. Further columns of the
+without a doc_id are one document, smaller than all others. Very long texts give as many
+hashes as they have lines, in any number of tasks. Further columns of the
 input are passed on by ``kept_documents`` and may have any name but ``_ld_*``.
 """
 
@@ -18,8 +20,9 @@ import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from wrenchline.llm.common import id_key
+from wrenchline.llm.common import Stages, id_key
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -40,7 +43,9 @@ def _keys() -> list[Column]:
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """One row per line whose key is long enough: 128 hash bits, document, position."""
-    lines = docs.select(*_keys(), F.posexplode(split_lines(F.col("text"))).alias("_ld_pos", "_ld_line"))
+    # The text's own hash is made before its lines are rows, else every line would hash the whole text.
+    cut = docs.select(*_keys(), split_lines(F.col("text")).alias("_ld_lines"))
+    lines = cut.select("_ld_id", "_ld_text", F.posexplode("_ld_lines").alias("_ld_pos", "_ld_line"))
     keyed = lines.withColumn("_ld_key", line_key(F.col("_ld_line"))).where(F.length("_ld_key") >= min_chars)
     return keyed.select(
         F.xxhash64("_ld_key").alias("_ld_h1"),
@@ -49,21 +54,28 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
+def first_occurrences(hashes: DataFrame) -> DataFrame:
+    """The first place of every line in every document, streamed from sorted ranges of hashes."""
+    ranged = hashes.repartitionByRange("_ld_h1", "_ld_h2", "_ld_id")
+    places = Window.partitionBy("_ld_h1", "_ld_h2", "_ld_id").orderBy("_ld_pos", "_ld_text")
+    return ranged.withColumn("_ld_nth", F.row_number().over(places)).where("_ld_nth = 1")
+
+
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """Per document that loses lines: ``dropped`` positions, ascending."""
-    hashes = line_hashes(docs, min_chars)
-    ranged = hashes.repartitionByRange("_ld_h1", "_ld_h2", "_ld_id").sortWithinPartitions(
-        "_ld_h1", "_ld_h2", F.col("_ld_id").desc(), "_ld_pos"
-    )
-    holders = ranged.groupBy("_ld_h1", "_ld_h2", "_ld_id").agg(F.count("*").alias("_ld_n"))
+    """Per document that loses lines: ``dropped`` positions, ascending; staged."""
+    stages = Stages(docs.sparkSession)
+    hashes = stages.save(line_hashes(docs, min_chars), "line-hashes")
     shared = (
-        holders.groupBy("_ld_h1", "_ld_h2")
+        first_occurrences(hashes)
+        .groupBy("_ld_h1", "_ld_h2")
         .agg(F.count("*").alias("_ld_docs"), F.max("_ld_id").alias("_ld_keeper"))
         .where(F.col("_ld_docs") >= min_docs)
         .select("_ld_h1", "_ld_h2", "_ld_keeper")
     )
     dropped = hashes.join(shared, ["_ld_h1", "_ld_h2"]).where("_ld_id < _ld_keeper")
-    return dropped.groupBy("_ld_id", "_ld_text").agg(F.array_sort(F.collect_set("_ld_pos")).alias("_ld_dropped"))
+    bitmaps = stages.save(dropped.groupBy("_ld_id", "_ld_text").agg(F.array_sort(F.collect_set("_ld_pos")).alias("_ld_dropped")), "bitmaps")
+    stages.drop(hashes)
+    return bitmaps
 
 
 def _runs(dropped: Column, n_lines: Column) -> Column:
@@ -100,12 +112,13 @@ def kept_documents(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> D
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """The contract's columns, and the keep bitmap as runs."""
+    """The contract's columns, and the keep bitmap: runs of kept lines as first:number, comma-joined."""
     return kept_documents(docs.select("doc_id", "text")).select(
         "doc_id",
         F.col("_ld_n_lines").alias("n_lines"),
         F.col("_ld_n_dropped").alias("n_dropped"),
         F.sha2("_ld_kept", 256).alias("kept_sha256"),
+        F.array_join(F.transform("_ld_keep_runs", lambda r: F.concat(r["start"].cast("string"), F.lit(":"), r["length"].cast("string"))), ",").alias("keep_runs"),
     )
 
 
@@ -134,8 +147,15 @@ WITH lines AS (
   SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
 ), marked AS (
   SELECT keyed.*, coalesce(keeper <> doc_id, false) AS gone FROM keyed LEFT JOIN shared USING (k)
+), runs AS (
+  SELECT row_id, min(pos) - 1 AS start, count(*) AS n
+  FROM (SELECT row_id, pos, pos - row_number() OVER (PARTITION BY row_id ORDER BY pos) AS stretch FROM marked WHERE NOT gone)
+  GROUP BY row_id, stretch
+), bitmaps AS (
+  SELECT row_id, string_agg(start::VARCHAR || ':' || n::VARCHAR, ',' ORDER BY start) AS keep_runs FROM runs GROUP BY row_id
 )
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY row_id
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256,
+       coalesce(any_value(keep_runs), '') AS keep_runs
+FROM marked LEFT JOIN bitmaps USING (row_id) GROUP BY row_id
 """
