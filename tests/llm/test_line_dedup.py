@@ -2,7 +2,7 @@
 
 import random
 
-from wrenchline.llm import line_dedup
+from wrenchline.llm import decontamination, line_dedup
 
 DOCS = "doc_id bigint, text string"
 
@@ -55,3 +55,12 @@ def test_a_very_long_text_and_a_line_of_all_documents(spark):
     assert (found[500].n_lines, found[500].n_dropped, found[500].keep_runs) == (200_000, 0, "0:200000")
     assert all(found[i].n_dropped == 1 and found[i].keep_runs == "1:1" for i in range(500))
     assert found[501].n_dropped == found[502].n_dropped == 0 and found[502].keep_runs == "0:1"
+
+
+def test_words_of_a_very_long_text(spark):
+    item = " ".join(f"item{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, "word " * 300_000 + item), (2, item)], DOCS)
+    bench = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    found = {r.doc_id: r for r in decontamination.digest(docs, bench, spark).collect()}
+    assert (found[1].n_words, found[1].n_hit, found[1].contaminated) == (300_020, 20, False)
+    assert found[2].contaminated

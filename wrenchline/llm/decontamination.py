@@ -62,7 +62,10 @@ def _text_key(text: Column) -> Column:
 
 def _words(df: DataFrame, *keys: Column) -> DataFrame:
     """One row per word: keys, position, word."""
-    return df.select(*keys, F.posexplode(_parts(F.col("text"))).alias("_dc_pos", "_dc_word")).where("_dc_word <> ''")
+    # Keys are made before the words are rows, else every word would hash its whole text.
+    cut = df.select(*keys, _parts(F.col("text")).alias("_dc_parts"))
+    kept = [c for c in cut.columns if c != "_dc_parts"]
+    return cut.select(*kept, F.posexplode("_dc_parts").alias("_dc_pos", "_dc_word")).where("_dc_word <> ''")
 
 
 def document_words(docs: DataFrame) -> DataFrame:
