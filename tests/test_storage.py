@@ -151,3 +151,27 @@ def test_records_of_texts(spark):
     assert sorted(values(kept, "doc_id", "record_no")) == [(1, 0), (1, 1), (5, 0), (6, 0), (7, 0)]
     by_two = text_records.records_of_texts(frame(spark, "doc_id int, body string", *texts[:1]), "doc_id", "body", 2)
     assert [r.answers for r in by_two.orderBy("record_no").collect()] == [["a"], ["c"], ["d"]]
+
+
+def test_equal_plans_are_stored_once(spark, tmp_path):
+    from wrenchline.storage import staged_once
+
+    store = staged_once(str(tmp_path / "work"))
+    rows = spark.range(10)
+    first = store(rows.where("id > 3"), "a")
+    assert store(rows.where("id > 3"), "b") is first
+    assert store(rows.where("id > 4"), "c").count() == 5
+    assert store(rows.where("id > 3").withColumnRenamed("id", "n"), "d").columns == ["n"]
+    assert len(list((tmp_path / "work").iterdir())) == 3
+
+
+def test_report_datasets_store_the_kept_lines_once(spark, tmp_path, monkeypatch):
+    from wrenchline import storage
+    from wrenchline.plans import catalog_storage
+
+    paths = []
+    real = storage.staged
+    for module in (storage, catalog_storage):
+        monkeypatch.setattr(module, "staged", lambda df, path: paths.append(path) or real(df, path))
+    catalog_storage.q58_report_datasets(spark, "/root/testdata/sf0.001")
+    assert sorted(p.rpartition("/")[2].lstrip("0123456789-") for p in paths) == ["headers", "kept_lines", "lines"]

@@ -106,7 +106,8 @@ def kept_groups(lines: DataFrame, cfg: EngineConfig, enrich: Enrich = lambda row
     rows = with_base_hours(lines.withColumn("processed", ids.should_process(cfg, F.col("seq"))))
     rows = rows.withColumn("_key", F.when(F.col("processed"), dedup_key(lines)))
     carried = [c for c in lines.columns if c not in ("workpack_id", "row_no")]
-    first = F.min_by(F.struct("row_no", *carried), "row_no").alias("_first")
+    # The smallest struct and not min_by: that would send row_no twice.
+    first = F.min(F.struct("row_no", *carried)).alias("_first")
     groups = rows.groupBy("workpack_id", "processed", "_key").agg(
         first, F.count(F.lit(1)).alias("group_rows"), decimal_sum(F.col("base_hours")).alias("group_hours")
     )

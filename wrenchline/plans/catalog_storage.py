@@ -21,7 +21,7 @@ from wrenchline.plans.report import Lookups, build_reports
 from wrenchline.shipping import ship_package
 from wrenchline.sources import exports, file_columns, lookups, reports, text_records
 from wrenchline.sources import star_tables as star
-from wrenchline.storage import new_folder, staged
+from wrenchline.storage import new_folder, staged, staged_once
 
 _NAMES = {logical: export for export, logical in CFG.columns.items()}
 _EXPORTED = ("seq", "title", "planned_min")
@@ -62,6 +62,8 @@ def q47_isolated_exports(spark: SparkSession, folder: str) -> DataFrame:
     lines = star.lines(spark, folder, *_EXPORTED).withColumn("workpack", F.concat(F.lit("P"), number.cast("string")))
     lines = lines.withColumn("event", F.col("row_no.l_partkey").cast("string"))
     path = new_folder(spark, "exports")
+    # The lines are joined once and not for each file that is written.
+    lines = staged(lines.select("workpack_id", "workpack", "event", *_EXPORTED), f"{path}/lines")
     results = []
     for file_format in ("csv", "json", "parquet"):
         own = f"{path}/{file_format}"
@@ -213,9 +215,9 @@ def q58_report_datasets(spark: SparkSession, folder: str) -> DataFrame:
         type_coefficient_rows=star.type_coefficient_rows(spark, folder),
     )
     plain = dataclasses.replace(CFG, enable_special_code=False, enable_tool_control=False)
-    counts = []
+    counts, store = [], staged_once(path)
     for switches, cfg in (("on", CFG), ("off", plain)):
-        datasets = build_reports(lines, tables, cfg, lambda df, name, at=f"{path}/{switches}": staged(df, f"{at}/{name}"))
+        datasets = build_reports(lines, tables, cfg, store)
         counts += [df.select(F.lit(switches).alias("switches"), F.lit(name).alias("dataset")) for name, df in datasets.items()]
     return reduce(lambda a, b: a.unionByName(b), counts).groupBy("switches", "dataset").agg(F.count("*").alias("rows"))
 

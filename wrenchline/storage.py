@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,23 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_once(path: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Storing below a folder, where a table of the same plan and columns as an earlier one is not written again.
+
+    For jobs that build their datasets several times from the same tables.
+    """
+    done: list[tuple[DataFrame, DataFrame]] = []
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        for earlier, table in done:
+            if df.schema == earlier.schema and df.sameSemantics(earlier):  # plans are compared without names
+                return table
+        done.append((df, staged(df, f"{path}/{len(done)}-{name}")))
+        return done[-1][1]
+
+    return store
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one; a temporary one in local mode without that setting."""
     base = work_folder(spark, "")
