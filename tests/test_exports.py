@@ -217,3 +217,23 @@ def test_run_totals_come_from_the_write_of_the_kept_lines(spark, tmp_path, looku
     assert totals == {"loaded": (5, 5.5), "base": (3, 3.5), "mhr": (2, 3.0), "excluded_mhr": (1, 0.5), "coefficient": (2, 4.4)}
     by_package = spark.read.parquet(written["run_metrics"]).groupBy("stage").agg({"rows": "sum", "hours": "sum"})
     assert {r[0]: (r["sum(rows)"], pytest.approx(r["sum(hours)"])) for r in by_package.collect()} == totals
+
+
+def test_exports_are_written_from_lines_joined_once(spark, monkeypatch):
+    from wrenchline.plans import catalog_storage
+
+    read, real = [], catalog_storage._write
+    monkeypatch.setattr(catalog_storage, "_write", lambda rows, *rest: read.extend(rows.inputFiles()) or real(rows, *rest))
+    catalog_storage.q47_isolated_exports(spark, "/root/testdata/sf0.001")
+    assert read and not any("lineitem" in f or "orders" in f for f in read)
+
+
+def test_keys_of_json_lines_with_and_without_names(spark, tmp_path):
+    from wrenchline.sources import file_columns
+
+    (tmp_path / "a.json").write_text('﻿{"SEQ": "1", "x": 2}\n  \n{"event": null}\n[1]\n7\n')
+    (tmp_path / "b.json").write_text('{"x": 1}\n')
+    found = lambda names: {r.workpack_id: ([c.name for c in r.columns], r.error) for r in file_columns.file_columns(spark, str(tmp_path), "json", names).collect()}
+    broken = "2 lines that are no JSON objects"
+    assert found(None) == {"a": (["SEQ", "event", "x"], broken), "b": (["x"], None)}
+    assert found(["event", "SEQ", "title"]) == {"a": (["SEQ", "event"], broken), "b": ([], None)}

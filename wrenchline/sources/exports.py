@@ -73,10 +73,10 @@ def _csv_rows(spark: SparkSession, folder: str | list[str], good: DataFrame, cfg
     fields = ", ".join(f"c{i} string" for i in range(widest + 1))
     lines = heads.text_lines(spark, folder, "csv", per).join(bound, "file").where("value != head")
     cells = lines.withColumn("cells", F.from_csv("value", fields))
-    cells = cells.withColumn("cells", F.array(*[F.col(f"cells.c{i}") for i in range(widest + 1)]))
-    excess = F.exists(F.slice("cells", F.col("width") + 1, widest + 1), lambda c: c.isNotNull())
+    excess = F.coalesce(*[F.when(F.col("width") <= i, F.col(f"cells.c{i}")) for i in range(widest + 1)]).isNotNull()
+    cells = cells.withColumn("excess", excess).withColumn("cells", F.array(*[F.col(f"cells.c{i}") for i in range(widest + 1)]))
     values = [F.try_element_at("cells", F.col("at").getField(name)).alias(logical) for logical, name in own.items()]
-    return cells.select("file", "workpack_id", *FLAGS, F.struct("split", "place").alias("row_no"), excess.alias("excess"), *values)
+    return cells.select("file", "workpack_id", *FLAGS, F.struct("split", "place").alias("row_no"), "excess", *values)
 
 
 def _json_rows(spark: SparkSession, folder: str | list[str], good: DataFrame, cfg: EngineConfig, per: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrenchline.functions.text import strip
+from wrenchline.functions.text import SPACE
 from wrenchline.sources import workbook
 
 COLUMNS = "columns array<struct<name: string, type: string>>"
@@ -60,12 +60,13 @@ def listed(spark: SparkSession, folder: str | list[str], file_format: str, per:
 def text_lines(spark: SparkSession, folder: str | list[str], file_format: str, per: str = "file") -> DataFrame:
     """Lines that aren't blank: file, split, place in the task that reads it, value."""
     lines = reader(spark, file_format, per).text(folder)
+    value = F.col("value")
     return lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("place"),
-        F.regexp_replace("value", "^\ufeff", "").alias("value"),
-    ).where(strip(F.col("value")) != "")
+        F.when(F.startswith(value, F.lit("\ufeff")), F.substr(value, F.lit(2))).otherwise(value).alias("value"),
+    ).where(F.rlike("value", F.lit(f"[^{SPACE}]")))
 
 
 def _opened(file: str, path: str):
@@ -136,17 +137,20 @@ def _looked_into(file_format: str):
 
 
 def _json_columns(spark: SparkSession, folder: str | list[str], names: Sequence[str] | None, per: str) -> DataFrame:
-    lines = text_lines(spark, folder, "json", per)
-    # A line that is no object counts under a null key.
-    keys = F.coalesce(F.json_object_keys("value"), F.array(F.lit(None).cast("string")))
-    pairs = lines.select("file", F.explode(keys).alias("name"))
-    if names is not None:
-        pairs = pairs.where(F.col("name").isNull() | F.col("name").isin(list(names)))
-    counts = pairs.groupBy("file", "name").agg(F.count("*").alias("n"))
-    column = F.when(F.col("name").isNotNull(), F.struct("name", F.lit("string").alias("type")))
-    broken = F.max(F.when(F.col("name").isNull(), F.col("n")))
+    lines = text_lines(spark, folder, "json", per).select("file", F.json_object_keys("value").alias("keys"))
+    # A line that is no object has no keys, not even none.
+    broken = F.nullif(F.count_if(F.col("keys").isNull()), F.lit(0))
+    if names is None:
+        pairs = lines.select("file", F.explode(F.coalesce("keys", F.array(F.lit(None).cast("string")))).alias("name"))
+        counts = pairs.groupBy("file", "name").agg(F.count("*").alias("n"))
+        listed_ = F.collect_list(F.when(F.col("name").isNotNull(), F.struct("name", F.lit("string").alias("type"))))
+        broken = F.max(F.when(F.col("name").isNull(), F.col("n")))
+    else:  # one flag a name spares a row for each key of each line
+        counts = lines
+        found = [F.when(F.max(F.array_contains("keys", n)), F.struct(F.lit(n).alias("name"), F.lit("string").alias("type"))) for n in names]
+        listed_ = F.array_compact(F.array(*found))
     return counts.groupBy("file").agg(
-        F.sort_array(F.collect_list(column)).cast(COLUMNS.split(" ", 1)[1]).alias("columns"),
+        F.sort_array(listed_).cast(COLUMNS.split(" ", 1)[1]).alias("columns"),
         F.lit(None).cast("string").alias("head"),
         F.lit(None).cast("bigint").alias("rows"),
         F.concat(broken.cast("string"), F.lit(" lines that are no JSON objects")).alias("error"),
