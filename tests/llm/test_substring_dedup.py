@@ -78,3 +78,20 @@ def test_odd_rows(spark):
     assert got[2].removed_chars == len(passage) and got[2].spans == f"drop:0:{len(passage)}"
     assert got[4].removed_chars == len(long) and got[4].keepers == [3] and got[3].spans == f"keep:0:{len(long)}"
     assert substring_dedup.digest(docs.limit(0), spark).count() == 0
+
+
+def test_a_smaller_document_with_the_labels_hides_no_link(spark):
+    rng = random.Random(25)
+    passage, other = words(rng, 60), words(rng, 60)
+    size = substring_dedup.LABEL_WORDS
+    rows = [(i, " ".join(passage[i : i + size])) for i in range(60 - size + 1)]
+    rows += [(100 + i, " ".join(words(rng, 40) + passage + words(rng, 40))) for i in range(3)]
+    # Pieces of the passage come before it in the smallest document.
+    pieces = [w for i in range(60 - size + 1) for w in other[i : i + size] + words(rng, 20)]
+    rows += [(200, " ".join(pieces + other + words(rng, 30))), (201, " ".join(words(rng, 40) + other))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in substring_dedup.digest(docs, spark).collect()}
+    assert set(got) == {100, 101, 102, 200, 201}
+    assert [got[d].keepers for d in (100, 101, 102, 200, 201)] == [[], [100], [100], [], [200]]
+    assert got[101].removed_chars == got[102].removed_chars == len(" ".join(passage))
+    assert got[201].removed_chars == len(" ".join(other))

@@ -11,7 +11,9 @@ then are one row, about 0.13 a word.
    nothing.
 2. Labels in two or more documents collide. A document's occurrence is linked to the
    smallest document with the label, the smallest one's to the largest: a row an
-   occurrence, not all pairs.
+   occurrence, not all pairs. Where the words around a label differ, the same is done for
+   each paragraph that the label stands for, so a document that has the label by chance or
+   elsewhere hides nobody.
 3. Linked occurrences on one diagonal are a stretch. It is compared with the words of the
    partner around it, which travel in blocks: shingles that the partner has too are marked,
    and stretches of marked words grow word for word on both sides.
@@ -52,6 +54,7 @@ BLOCK = 64
 #: Words that an edit may take between two runs of one passage.
 EDIT_WORDS = 3
 
+_PARAGRAPH_MIX = np.random.default_rng(12).integers(1, 2**63, PASSAGE_WORDS, dtype=np.uint64) | np.uint64(1)
 _LABEL_MIX = np.random.default_rng(11).integers(1, 2**63, LABEL_WORDS, dtype=np.uint64) | np.uint64(1)
 
 
@@ -79,28 +82,43 @@ def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def places(words: np.ndarray, paragraph: int) -> tuple[np.ndarray, np.ndarray]:
-    """(label, first word) of the min-hashes of all paragraphs of a text.
+def _short(words: np.ndarray) -> np.ndarray:
+    """Words as 32 bits."""
+    return (words >> np.uint64(32)).astype(np.uint32)
+
+
+def places(words: np.ndarray, paragraph: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(label, first word) of the min-hashes of all paragraphs of a text, and the paragraphs of each as (number, hashes).
 
     Texts of no more words than a paragraph give every place, as their copies may be cut
     differently; so do places that tie.
     """
     n = words.size - LABEL_WORDS + 1
     if n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
     labels = np.zeros(n, np.uint64)
     for i in range(LABEL_WORDS):
         labels += words[i : n + i] * _LABEL_MIX[i]
     labels = near.mixed(labels)
     width = paragraph - LABEL_WORDS + 1
-    if n <= width:
-        return labels, np.arange(n)
     ranks = near.mixed(near.shingles_of(words)[:n] ^ _LABEL_MIX[0])
+    if n < width:
+        return labels, np.arange(n), np.zeros(n, np.int64), np.zeros(0, np.int32)
     least = _window_minima(ranks, width)
-    # A place counts if it is the least of one of the paragraphs that hold it: then it equals the largest of their minima.
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    at = np.flatnonzero(ranks == ~_window_minima(~padded, width))
-    return labels[at], at
+    if n == width:
+        at = np.arange(n)
+    else:
+        # A place counts if it is the least of one of the paragraphs that hold it: then it equals the largest of their minima.
+        padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
+        at = np.flatnonzero(ranks == ~_window_minima(~padded, width))
+    whole = np.zeros(least.size, np.uint64)
+    for i in range(paragraph):
+        whole += words[i : least.size + i] * _PARAGRAPH_MIX[i]
+    whole = _short(near.mixed(whole)).view(np.int32)
+    first = at[:, None] - np.arange(width)
+    inside = np.clip(first, 0, least.size - 1)
+    own = (first == inside) & (least[inside] == ranks[at][:, None])
+    return labels[at], at, own.sum(axis=1), whole[inside[own]]
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], paragraph: int) -> Iterator[pa.RecordBatch]:
@@ -108,23 +126,22 @@ def _anchors(batches: Iterator[pa.RecordBatch], paragraph: int) -> Iterator[pa.R
         for first in range(0, whole.num_rows, 256):
             batch = whole.slice(first, 256)
             labels, at, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            sizes, hashes = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
             for number, text in enumerate(batch.column("text").to_pylist()):
-                label, place = places(near.word_table((text or "").lower().encode())[0], paragraph)
+                label, place, size, whole = places(near.word_table((text or "").lower().encode())[0], paragraph)
                 labels.append(label)
                 at.append(place)
                 owner.append(np.full(len(place), number))
+                sizes.append(size)
+                hashes.append(whole)
             keys = [batch.column(k).take(pa.array(np.concatenate(owner))) for k in ("doc", "part")]
+            paragraphs = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)).astype(np.int32)), pa.array(np.concatenate(hashes)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(labels).view(np.int64)), *keys, pa.array(np.concatenate(at).astype(np.int32))],
-                names=["label", "doc", "part", "pos"],
+                [pa.array(np.concatenate(labels).view(np.int64)), *keys, pa.array(np.concatenate(at).astype(np.int32)), paragraphs],
+                names=["label", "doc", "part", "pos", "paragraphs"],
             )
 
 
-def _short(words: np.ndarray) -> np.ndarray:
-    """Words as 32 bits."""
-    return (words >> np.uint64(32)).astype(np.uint32)
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The wanted blocks of words of every text."""
     schema = pa.schema([("partner", pa.int64()), ("partner_part", pa.int64()), ("block", pa.int32()), ("words", pa.binary())])
@@ -139,28 +156,47 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
+def _linked(hits: DataFrame, keys: list[str], stages: Stages) -> DataFrame:
+    """Occurrences of a key, each with a place of the smallest document that has it, the smallest one's with the largest's."""
+    # Of the smallest and the largest document of a key one place each is looked at; hashes of texts make it one text's.
+    ends = hits.where("doc = low OR doc = high").groupBy(*keys, "doc").agg(F.min("part").alias("partner_part"))
+    placed = hits.withColumnRenamed("part", "partner_part").join(ends, [*keys, "doc", "partner_part"])
+    heads = placed.groupBy(*keys, F.col("doc").alias("partner"), "partner_part").agg(F.min("pos").alias("partner_pos"))
+    heads = stages.save(heads, "heads")
+    partner = F.when(F.col("doc") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+    linked = hits.withColumn("partner", partner).join(heads, [*keys, "partner"])
+    shift = F.expr("partner_pos - pos").alias("shift")
+    out = linked.groupBy("doc", "part", "partner", "partner_part", shift).agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    out = stages.save(out, "linked")
+    stages.drop(heads)
+    return out
+
+
 def stretches(source: DataFrame, stages: Stages) -> DataFrame:
-    """Linked stretches: doc, part, partner, partner_part, shift, first and last word of the outermost labels."""
+    """Linked stretches: doc, part, partner, partner_part, shift, first and last word of the outermost labels.
+
+    The smallest document with a label may have it among other words, and then hides those
+    that share the passage. So where the paragraphs around a label differ, its
+    occurrences are also linked by each paragraph.
+    """
     paragraph = paragraph_words()
-    found = stages.save(
-        source.mapInArrow(lambda b: _anchors(b, paragraph), "label bigint, doc bigint, part bigint, pos int"), "anchors"
-    )
-    counted = found.groupBy("label").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
-    shared = stages.save(counted, "labels")
-    hits = stages.save(maybe_in(found, shared, ["label"]).join(shared, "label"), "hits")
+    schema = "label bigint, doc bigint, part bigint, pos int, paragraphs array<int>"
+    found = stages.save(source.mapInArrow(lambda b: _anchors(b, paragraph), schema), "anchors")
+    around = F.xxhash64("paragraphs")
+    counted = found.groupBy("label").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), (F.min(around) != F.max(around)).alias("mixed"))
+    shared = stages.save(counted.where("low <> high"), "labels")
+    hits = maybe_in(found, shared, ["label"]).join(shared, "label")
+    hits = stages.save(hits.withColumn("paragraphs", F.when(F.col("mixed"), F.col("paragraphs"))), "hits")
     stages.drop(found)
-    # Of the smallest and the largest document of a label one place each is looked at; hashes of texts make it one text's.
-    ends = hits.where("doc = low OR doc = high").groupBy("label", "doc").agg(F.min("part").alias("partner_part"))
-    placed = hits.withColumnRenamed("part", "partner_part").join(ends, ["label", "doc", "partner_part"])
-    heads = placed.groupBy("label", F.col("doc").alias("partner"), "partner_part").agg(F.min("pos").alias("partner_pos"))
-    heads = stages.save(heads, "heads")
-    partner = F.when(F.col("doc") == F.col("low"), F.col("high")).otherwise(F.col("low"))
-    linked = hits.withColumn("partner", partner).join(heads, ["label", "partner"])
-    out = linked.groupBy("doc", "part", "partner", "partner_part", F.expr("partner_pos - pos").alias("shift")).agg(
-        F.min("pos").alias("first"), F.max("pos").alias("last")
-    )
-    out = stages.save(out, "stretches")
-    for used in (shared, hits, heads):
+    by_label = _linked(hits.drop("paragraphs", "mixed"), ["label"], stages)
+    keys = ["label", "paragraph"]
+    single = hits.where("mixed").select("label", F.explode("paragraphs").alias("paragraph"), "doc", "part", "pos")
+    ends = single.groupBy(*keys).agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
+    single = stages.save(single.join(ends, keys), "paragraphs")
+    by_paragraph = _linked(single, keys, stages)
+    links = by_label.unionByName(by_paragraph).groupBy("doc", "part", "partner", "partner_part", "shift")
+    out = stages.save(links.agg(F.min("first").alias("first"), F.max("last").alias("last")), "stretches")
+    for used in (shared, hits, single, by_label, by_paragraph):
         stages.drop(used)
     return out
 
