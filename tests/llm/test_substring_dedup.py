@@ -95,3 +95,16 @@ def test_a_smaller_document_with_the_labels_hides_no_link(spark):
     assert [got[d].keepers for d in (100, 101, 102, 200, 201)] == [[], [100], [100], [], [200]]
     assert got[101].removed_chars == got[102].removed_chars == len(" ".join(passage))
     assert got[201].removed_chars == len(" ".join(other))
+
+
+def test_anchors_of_a_batch_of_many_rows():
+    import pyarrow as pa
+
+    rng = random.Random(26)
+    texts = [" ".join(words(rng, rng.choice((0, 5, 12, 24, 25, 26, 80)))) for _ in range(600)]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(600)), "part": [0] * 600, "text": texts})
+    got = pa.Table.from_batches(substring_dedup._anchors(iter([batch]), substring_dedup.paragraph_words())).to_pylist()
+    number = {}
+    for r in got:
+        number[r["doc"]] = number.get(r["doc"], 0) + len(r["paragraphs"])
+    assert all(number.get(i, 0) == max(0, len(t.split()) - 24) for i, t in enumerate(texts))  # each paragraph has one least place

@@ -128,12 +128,12 @@ def _anchors(batches: Iterator[pa.RecordBatch], paragraph: int) -> Iterator[pa.R
             labels, at, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             sizes, hashes = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
             for number, text in enumerate(batch.column("text").to_pylist()):
-                label, place, size, whole = places(near.word_table((text or "").lower().encode())[0], paragraph)
+                label, place, size, inner = places(near.word_table((text or "").lower().encode())[0], paragraph)
                 labels.append(label)
                 at.append(place)
                 owner.append(np.full(len(place), number))
                 sizes.append(size)
-                hashes.append(whole)
+                hashes.append(inner)
             keys = [batch.column(k).take(pa.array(np.concatenate(owner))) for k in ("doc", "part")]
             paragraphs = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)).astype(np.int32)), pa.array(np.concatenate(hashes)))
             yield pa.RecordBatch.from_arrays(
