@@ -108,3 +108,89 @@ def test_anchors_of_a_batch_of_many_rows():
     for r in got:
         number[r["doc"]] = number.get(r["doc"], 0) + len(r["paragraphs"])
     assert all(number.get(i, 0) == max(0, len(t.split()) - 24) for i, t in enumerate(texts))  # each paragraph has one least place
+
+
+def test_places_of_several_texts_at_once():
+    rng = random.Random(27)
+    size = substring_dedup.paragraph_words()
+    tables = [table_of(" ".join(words(rng, n))) for n in (0, 3, 11, 12, 24, 25, 26, 200, 0, 90, 13)] + [table_of("a b c " * 40)]
+    label, at, number, inner = substring_dedup.places(np.concatenate(tables), size, np.array([t.size for t in tables]))
+    alone = [substring_dedup.places(t, size) for t in tables]
+    shift = np.cumsum([0] + [t.size for t in tables[:-1]])
+    assert label.tolist() == [x for a in alone for x in a[0].tolist()]
+    assert at.tolist() == [x + s for a, s in zip(alone, shift.tolist(), strict=True) for x in a[1].tolist()]
+    assert number.tolist() == [x for a in alone for x in a[2].tolist()]
+    assert inner.tolist() == [x for a in alone for x in a[3].tolist()]
+
+
+def test_matched_by_brute_force():
+    def same(own, theirs):
+        at = [i for i, x in enumerate(theirs) if x in set(own)]
+        a, b = set(own), set(theirs[at[0] : at[-1] + 1])
+        return len(a & b) * near.SIMILARITY[1] >= len(a | b) * near.SIMILARITY[0]
+
+    rng = random.Random(28)
+    parted = 0
+    for _ in range(600):
+        kinds = rng.choice((3, 400))
+        line = [rng.randrange(kinds) for _ in range(rng.randint(5, 200))]
+        edited = [np.array([rng.randrange(500, 900) if rng.random() < 0.015 else x for x in line], np.uint64) for _ in range(2)]
+        mine, theirs = (near.shingles_of(x).tolist() for x in edited)
+        at = [i for i in range(len(mine)) if rng.random() < 0.97]
+        want = []
+        for i in at:
+            if mine[i] in theirs:
+                if want and i - want[-1][-1] <= near.SHINGLE:
+                    want[-1].append(i)
+                else:
+                    want.append([i])
+        runs = []
+        for run in want:
+            if runs and run[0] - runs[-1][1] <= substring_dedup.EDIT_WORDS and same(mine[runs[-1][0] : run[-1] + 1], theirs):
+                runs[-1][1] = run[-1] + near.SHINGLE
+                parted += 1
+            else:
+                runs.append([run[0], run[-1] + near.SHINGLE])
+        got = substring_dedup.matched(np.array(mine, np.uint64), np.array(at, np.int64), np.array(theirs, np.uint64), 7)
+        assert got == [r for r in runs if r[1] - r[0] >= 7]
+    assert parted > 50
+
+
+def test_links_by_paragraph_and_only_those_the_label_does_not_give(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(29)
+    passage, other = words(rng, 60), words(rng, 60)
+    plain = [(i, 0, " ".join(words(rng, 40) + passage + words(rng, 40))) for i in range(12)]
+    pieces = [(-20 + i, 0, " ".join(words(rng, 30) + other[3 * i : 3 * i + 20] + words(rng, 30))) for i in range(14)]
+    hidden = [(100 + i, i % 2, " ".join(words(rng, 30) + other + words(rng, 9) + other[:40])) for i in range(5)]
+    counts = {}
+    save = substring_dedup.Stages.save
+
+    def saved(self, df, name):
+        out = save(self, df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(substring_dedup.Stages, "save", saved)
+    for rows, some in ((plain, False), (plain + pieces + hidden, True)):
+        source = spark.createDataFrame(rows, "doc bigint, part bigint, text string")
+        got = substring_dedup.stretches(source, substring_dedup.Stages(spark))
+        size = substring_dedup.paragraph_words()
+        schema = "label bigint, doc bigint, part bigint, pos int, paragraphs array<int>"
+        anchors = source.mapInArrow(lambda b: substring_dedup._anchors(b, size), schema).withColumn("around", F.xxhash64("paragraphs")).collect()
+        groups, around = {}, {}
+        for r in anchors:
+            around.setdefault(r.label, set()).add(r.around)
+        for r in anchors:
+            for key in [(r.label,), *((r.label, p) for p in r.paragraphs if len(around[r.label]) > 1)]:
+                groups.setdefault(key, []).append((r.doc, r.part, r.pos))
+        want = {}
+        for found in groups.values():
+            low, high = min(found), min(found, key=lambda f: (-f[0], f[1:]))
+            for doc, part, pos in found if low[0] < high[0] else []:
+                partner = high if doc == low[0] else low
+                want.setdefault((doc, part, partner[0], partner[1], partner[2] - pos), []).append(pos)
+        assert {(r.doc, r.part, r.partner, r.partner_part, r["shift"]): (r["first"], r["last"]) for r in got.collect()} == {k: (min(v), max(v)) for k, v in want.items()}
+        # All copies of the plain passage are linked by its labels.
+        assert (counts["paragraphs"] > 0) == some
