@@ -13,7 +13,7 @@ then are one row, about 0.13 a word.
    smallest document with the label, the smallest one's to the largest: a row an
    occurrence, not all pairs. Where the words around a label differ, the same is done for
    each paragraph that the label stands for, so a document that has the label by chance or
-   elsewhere hides nobody.
+   elsewhere hides nobody; paragraphs that would only give the label's links again are left out.
 3. Linked occurrences on one diagonal are a stretch. It is compared with the words of the
    partner around it, which travel in blocks: shingles that the partner has too are marked,
    and stretches of marked words grow word for word on both sides.
